@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from linecross.functions import planar
 from linecross.operators.components import connected_components
-from linecross.staging import stage
+from linecross.staging import stage, stage_observed
 
 #: Two boxes with more possible point pairs than this are divided before points are compared.
 PAIRS_PER_BOX = 100_000
@@ -23,74 +23,66 @@ MAX_LEVEL = 40
 _BOX = ("x_lo", "y_lo", "x_hi", "y_hi")
 
 
-def _side(tolerance: Column) -> Column:
-    return tolerance * (math.sqrt(0.5) * (1 - 1e-9))
+def _side(tolerance: str) -> str:
+    return f"({tolerance} * {planar.number(math.sqrt(0.5) * (1 - 1e-9))})"
 
 
-def _node(cx: Column, cy: Column) -> Column:
-    """Cell coordinates packed in one long."""
-    return F.shiftleft(cx, 32).bitwiseOR(cy.bitwiseAND(F.lit(0xFFFFFFFF)))
+def _anchored(pieces: DataFrame, tolerance: str) -> DataFrame:
+    """Pieces with the cell of their first end, which places a line in the cluster of that cell.
 
+    ``node`` packs the two cell coordinates in one long.
+    """
+    cells = [f"{planar.cell_of(axis + '1', _side(tolerance))} AS c{axis}" for axis in "xy"]
+    return pieces.selectExpr("*", *cells).selectExpr("*", "shiftleft(cx, 32) | (cy & 4294967295L) AS node")
 
-def _anchored(pieces: DataFrame, tolerance: Column) -> DataFrame:
-    """Pieces with the cell of their first end, which places a line in the cluster of that cell."""
-    side = _side(tolerance)
-    return pieces.withColumn("cx", planar.cell_of(F.col("x1"), side)).withColumn(
-        "cy", planar.cell_of(F.col("y1"), side)).withColumn("node", _node(F.col("cx"), F.col("cy")))
 
+_IS_LINE = "(x1 <> x2 OR y1 <> y2)"
+_LENGTH = "sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))"
 
-def _is_line() -> Column:
-    return (F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2"))
 
+def _aggregates(*expressions: str) -> list[Column]:
+    return [F.expr(e) for e in expressions]
 
-def _box_aggregates() -> list[Column]:
-    return [F.min("x1").alias("x_lo"), F.min("y1").alias("y_lo"), F.max("x1").alias("x_hi"), F.max("y1").alias("y_hi")]
 
+_BOX_AGGREGATES = ("min(x1) AS x_lo", "min(y1) AS y_lo", "max(x1) AS x_hi", "max(y1) AS y_hi")
 
-def _box_distances(a: str, b: str) -> tuple[Column, Column]:
-    """Smallest and largest distance of two boxes given by column prefixes."""
-    def c(prefix: str, name: str) -> Column:
-        return F.col(f"{prefix}{name}")
 
-    def spread(axis: str) -> tuple[Column, Column]:
-        gap = F.greatest(F.lit(0.0), c(a, f"{axis}_lo") - c(b, f"{axis}_hi"), c(b, f"{axis}_lo") - c(a, f"{axis}_hi"))
-        reach = F.greatest(c(a, f"{axis}_hi") - c(b, f"{axis}_lo"), c(b, f"{axis}_hi") - c(a, f"{axis}_lo"))
-        return gap, reach
-    (gx, rx), (gy, ry) = spread("x"), spread("y")
-    return planar.micrometre(F.sqrt(gx * gx + gy * gy)), planar.micrometre(F.sqrt(rx * rx + ry * ry))
+def _box_distances() -> tuple[str, str]:
+    """Smallest and largest distance of two boxes given by column prefixes ``a`` and ``b``."""
+    gap = [f"greatest(0D, a{v}_lo - b{v}_hi, b{v}_lo - a{v}_hi)" for v in "xy"]
+    reach = [f"greatest(a{v}_hi - b{v}_lo, b{v}_hi - a{v}_lo)" for v in "xy"]
+    return tuple(planar.micrometre(f"sqrt({x} * {x} + {y} * {y})") for x, y in (gap, reach))
 
 
 def _prefixed(df: DataFrame, columns: Sequence[str], prefix: str, keep: Sequence[str]) -> DataFrame:
     return df.select(*keep, *[F.col(c).alias(f"{prefix}{c}") for c in columns])
 
 
-def _linked_cells(nodes: DataFrame, keys: list[str], tolerance: Column) -> DataFrame:
+def _linked_cells(nodes: DataFrame, keys: list[str], tolerance: str) -> DataFrame:
     """Neighbouring cell pairs not farther apart than the distance; ``sure`` if their boxes prove the link."""
     ahead = [(dx, dy) for dx in range(3) for dy in range(-2, 3) if (dx, dy) > (0, 0)]
-    targets = F.array(*[F.struct((F.col("cx") + dx).alias("cx"), (F.col("cy") + dy).alias("cy")) for dx, dy in ahead])
-    a = _prefixed(nodes.select(*keys, *_BOX, "node", "n", F.explode(targets).alias("_t")),
-                  [*_BOX, "node", "n", "_t"], "a", keys)
-    a = a.select("*", F.col("a_t.cx").alias("cx"), F.col("a_t.cy").alias("cy")).drop("a_t")
-    b = _prefixed(nodes, [*_BOX, "node", "n"], "b", [*keys, "cx", "cy"])
-    near, far = _box_distances("a", "b")
-    pairs = a.join(b, [*keys, "cx", "cy"])
-    return pairs.where(near <= tolerance).select(
-        *keys, F.col("anode").alias("a"), F.col("bnode").alias("b"), F.col("an").alias("an"), F.col("bn").alias("bn"),
-        (far <= tolerance).alias("sure"))
-
-
-def _linked_by_points(pairs: DataFrame, points: DataFrame, keys: list[str], tolerance: Column,
+    targets = ", ".join(f"named_struct('cx', cx + {dx}, 'cy', cy + {dy})" for dx, dy in ahead)
+    columns = [*_BOX, "node", "n"]
+    a = _prefixed(nodes, columns, "a", [*keys, "cx", "cy"]).selectExpr(
+        "* EXCEPT (cx, cy)", f"inline(array({targets}))")
+    b = _prefixed(nodes, columns, "b", [*keys, "cx", "cy"])
+    near, far = _box_distances()
+    return a.join(b, [*keys, "cx", "cy"]).where(f"{near} <= {tolerance}").selectExpr(
+        *keys, "anode AS a", "bnode AS b", "an", "bn", f"{far} <= {tolerance} AS sure")
+
+
+def _linked_by_points(pairs: DataFrame, points: DataFrame, keys: list[str], tolerance: str,
                       parent: Sequence[str] = ()) -> DataFrame:
     """Cell pairs with at least one pair of points within the distance. ``parent``: box columns to match as well."""
     for side in "ab":
         own = _prefixed(points, ["node", *parent, "x1", "y1"], side, keys)
         own = own.withColumnRenamed(f"{side}node", side)
         pairs = pairs.join(own, [*keys, side, *[f"{side}{p}" for p in parent]])
-    near = planar.point_distance(F.col("ax1"), F.col("ay1"), F.col("bx1"), F.col("by1")) <= tolerance
-    return pairs.where(near).select(*keys, "a", "b").distinct()
+    distance = planar.point_distance("ax1", "ay1", "bx1", "by1")
+    return pairs.where(f"{distance} <= {tolerance}").select(*keys, "a", "b").distinct()
 
 
-def _linked_by_boxes(pairs: DataFrame, points: DataFrame, keys: list[str], tolerance: Column, budget: int) -> DataFrame:
+def _linked_by_boxes(pairs: DataFrame, points: DataFrame, keys: list[str], tolerance: str, budget: int) -> DataFrame:
     """As ``_linked_by_points`` for crowded cells: compare quarters, quarters of quarters, … until boxes decide."""
     found = []
     points = stage(points.join(pairs.select(*keys, F.explode(F.array("a", "b")).alias("node")).distinct(),
@@ -99,21 +91,20 @@ def _linked_by_boxes(pairs: DataFrame, points: DataFrame, keys: list[str], toler
     open_pairs = stage(pairs.select(*keys, "a", "b", *[zero.alias(f"{s}{c}") for s in "ab" for c in ("bx", "by")]), "boxes")
     side = _side(tolerance)
     for level in range(1, MAX_LEVEL + 1):
-        def place(axis: str, cell: str, scale: int = 2 ** level) -> Column:
-            within = F.floor((F.col(axis) / side - F.col(cell)) * scale).cast("long")
-            return F.greatest(zero, F.least(within, F.lit(scale - 1).cast("long")))
-        placed = points.withColumn("bx", place("x1", "cx")).withColumn("by", place("y1", "cy"))
-        boxes = placed.groupBy(*keys, "node", "bx", "by").agg(*_box_aggregates(), F.count("*").alias("n"))
+        scale = 2 ** level
+        placed = points.selectExpr("*", *[
+            f"greatest(0L, least(CAST(floor(({v}1 / {side} - c{v}) * {scale}L) AS BIGINT), {scale - 1}L)) AS b{v}" for v in "xy"])
+        boxes = placed.groupBy(*keys, "node", "bx", "by").agg(*_aggregates(*_BOX_AGGREGATES, "count(*) AS n"))
         pairs_here = open_pairs
         for s in "ab":
             children = _prefixed(boxes, ["node", "bx", "by", *_BOX, "n"], s, keys).withColumnRenamed(f"{s}node", s)
             children = children.withColumnsRenamed({f"{s}bx": f"{s}cbx", f"{s}by": f"{s}cby"}).withColumn(
                 f"{s}bx", F.shiftright(f"{s}cbx", 1)).withColumn(f"{s}by", F.shiftright(f"{s}cby", 1))
             pairs_here = pairs_here.join(children, [*keys, s, f"{s}bx", f"{s}by"])
-        near, far = _box_distances("a", "b")
-        pairs_here = stage(pairs_here.where(near <= tolerance).select(
-            *keys, "a", "b", *[F.col(f"{s}c{c}").alias(f"{s}{c}") for s in "ab" for c in ("bx", "by")],
-            "an", "bn", (far <= tolerance).alias("sure")), "boxes")
+        near, far = _box_distances()
+        pairs_here = stage(pairs_here.where(f"{near} <= {tolerance}").selectExpr(
+            *keys, "a", "b", *[f"{s}c{c} AS {s}{c}" for s in "ab" for c in ("bx", "by")],
+            "an", "bn", f"{far} <= {tolerance} AS sure"), "boxes")
         sure = pairs_here.where("sure").select(*keys, "a", "b").distinct()
         rest = pairs_here.where(~F.col("sure")).join(sure, [*keys, "a", "b"], "left_anti")
         crowded = F.col("an") * F.col("bn") > budget
@@ -130,24 +121,20 @@ def _linked_by_boxes(pairs: DataFrame, points: DataFrame, keys: list[str], toler
     return links
 
 
-def _linked_to_lines(pieces: DataFrame, keys: list[str], tolerance: Column) -> DataFrame:
+def _linked_to_lines(pieces: DataFrame, keys: list[str], tolerance: str) -> DataFrame:
     """Cell pairs linked through a line piece: to points near it and to other lines near it."""
-    side = _side(tolerance)
-    ends = [F.col(n) for n in ("x1", "y1", "x2", "y2")]
-    lines = pieces.where(_is_line()).select(*keys, "node", "x1", "y1", "x2", "y2").distinct()
-    run = planar.traversed_cells(*ends, side)
-    around = F.array_distinct(F.flatten(F.transform(run, lambda c: planar.cells_around(c["cx"], c["cy"], 2))))
-    geometry = ["node", "x1", "y1", "x2", "y2"]
-    a = _prefixed(lines.select(*keys, *geometry, F.inline(around)), geometry, "a", [*keys, "cx", "cy"])
-    b_lines = _prefixed(lines.select(*keys, *geometry, F.inline(run)), geometry, "b", [*keys, "cx", "cy"])
-    points = pieces.select(*keys, "cx", "cy", "node", "x1", "y1").distinct()
-    b_points = _prefixed(points, ["node", "x1", "y1"], "b", [*keys, "cx", "cy"])
-    to_points = a.join(b_points, [*keys, "cx", "cy"]).where(
-        planar.segment_point_distance(*[F.col(n) for n in ("bx1", "by1", "ax1", "ay1", "ax2", "ay2")]) <= tolerance)
-    to_lines = a.join(b_lines, [*keys, "cx", "cy"]).where(
-        (F.col("anode") < F.col("bnode")) & (planar.segment_distance("a", "b") <= tolerance))
-    ends_only = [*keys, F.col("anode").alias("a"), F.col("bnode").alias("b")]
-    return to_points.select(*ends_only).unionByName(to_lines.select(*ends_only)).where("a <> b").distinct()
+    lines = pieces.where(_IS_LINE).select(*keys, "node", "x1", "y1", "x2", "y2").distinct()
+    run = planar.traversed_cells(["x1", "y1", "x2", "y2"], _side(tolerance))
+    around = f"array_distinct(flatten(transform({run}, c -> {planar.cells_around('c.cx', 'c.cy', 2)})))"
+    geometry, at = ["node", "x1", "y1", "x2", "y2"], [*keys, "cx", "cy"]
+    a = _prefixed(lines.selectExpr("*", f"inline({around})"), geometry, "a", at)
+    b_lines = _prefixed(lines.selectExpr("*", f"inline({run})"), geometry, "b", at)
+    b_points = _prefixed(pieces.select(*at, "node", "x1", "y1").distinct(), ["node", "x1", "y1"], "b", at)
+    near_point = planar.segment_point_distance("bx1", "by1", "ax1", "ay1", "ax2", "ay2")
+    to_points = a.join(b_points, at).where(f"anode <> bnode AND {near_point} <= {tolerance}")
+    to_lines = a.join(b_lines, at).where(f"anode < bnode AND {planar.segment_distance('a', 'b')} <= {tolerance}")
+    nodes = [*keys, "anode AS a", "bnode AS b"]
+    return to_points.selectExpr(*nodes).unionByName(to_lines.selectExpr(*nodes)).distinct()
 
 
 class _Clusters:
@@ -159,35 +146,32 @@ class _Clusters:
         by_column = isinstance(tolerance, str)
         if by_column and tolerance not in self.keys:
             self.keys.append(tolerance)
-        self.tolerance = F.col(tolerance) if by_column else F.lit(float(tolerance))
+        self.tolerance = tolerance if by_column else planar.number(float(tolerance))
         self.pieces = _anchored(pieces, self.tolerance)
-        length = F.sqrt((F.col("x2") - F.col("x1")) ** 2 + (F.col("y2") - F.col("y1")) ** 2)
-        point = ~_is_line()
-        nodes = self.pieces.groupBy(*self.keys, "cx", "cy", "node").agg(
-            *_box_aggregates(), F.count("*").alias("n"),
-            F.count_if(point).alias("points"), F.sum(F.when(point, F.col("x1"))).alias("px"),
-            F.sum(F.when(point, F.col("y1"))).alias("py"), F.sum(length).alias("length"),
-            F.sum(length * (F.col("x1") + F.col("x2")) / 2).alias("lx"),
-            F.sum(length * (F.col("y1") + F.col("y2")) / 2).alias("ly"), *aggregates)
-        self.nodes = stage(nodes, "cells")
+        nodes = self.pieces.groupBy(*self.keys, "cx", "cy", "node").agg(*_aggregates(
+            *_BOX_AGGREGATES, "count(*) AS n", f"count_if(NOT {_IS_LINE}) AS points",
+            f"sum(CASE WHEN NOT {_IS_LINE} THEN x1 END) AS px", f"sum(CASE WHEN NOT {_IS_LINE} THEN y1 END) AS py",
+            f"sum({_LENGTH}) AS length", f"sum({_LENGTH} * (x1 + x2) / 2) AS lx", f"sum({_LENGTH} * (y1 + y2) / 2) AS ly"),
+            *aggregates)
+        self.nodes, seen = stage_observed(nodes, "cells", longest="max(length)")
+        self.has_lines = (seen["longest"] or 0) > 0
         self.roots = self._roots(pairs_per_box)
 
     def _roots(self, budget: int) -> DataFrame:
         keys, tolerance = self.keys, self.tolerance
-        pairs = stage(_linked_cells(self.nodes, keys, tolerance), "cell-pairs")
-        crowded = F.col("an") * F.col("bn") > budget
-        open_ = ~F.col("sure")
-        tally = pairs.agg(F.count_if(open_ & ~crowded).alias("few"), F.count_if(open_ & crowded).alias("many")).first()
+        few, many = f"NOT sure AND an * bn <= {budget}", f"NOT sure AND an * bn > {budget}"
+        pairs, tally = stage_observed(_linked_cells(self.nodes, keys, tolerance), "cell-pairs",
+                                      few=f"count_if({few})", many=f"count_if({many})")
         links = pairs.where("sure").select(*keys, "a", "b")
-        if tally.few or tally.many:
+        if tally["few"] or tally["many"]:
             points = self.pieces.select(*keys, "node", "cx", "cy", "x1", "y1").distinct()
-        if tally.few:
+        if tally["few"]:
             links = links.unionByName(
-                _linked_by_points(pairs.where(open_ & ~crowded).select(*keys, "a", "b"), points, keys, tolerance))
-        if tally.many:
+                _linked_by_points(pairs.where(few).select(*keys, "a", "b"), points, keys, tolerance))
+        if tally["many"]:
             links = links.unionByName(
-                _linked_by_boxes(pairs.where(open_ & crowded).select(*keys, "a", "b"), points, keys, tolerance, budget))
-        if not self.nodes.where("length > 0").isEmpty():
+                _linked_by_boxes(pairs.where(many).select(*keys, "a", "b"), points, keys, tolerance, budget))
+        if self.has_lines:
             links = links.unionByName(_linked_to_lines(self.pieces, keys, tolerance))
         return connected_components(links, keys)
 
@@ -223,12 +207,11 @@ def cluster_centroids(pieces: DataFrame, keys: Sequence[str], tolerance: float |
     found = _Clusters(pieces, keys, tolerance, [F.max(c).alias(c) for c in max_of], pairs_per_box)
     sums = found.rooted(found.nodes).groupBy(*found.keys, "root").agg(
         *[F.sum(c).alias(c) for c in ("n", "points", "px", "py", "length", "lx", "ly")], *[F.max(c).alias(c) for c in max_of])
-    lines = F.col("length") > 0
-    centroids = sums.select(
-        *found.keys, F.when(lines, F.col("lx") / F.col("length")).otherwise(F.col("px") / F.col("points")).alias("x"),
-        F.when(lines, F.col("ly") / F.col("length")).otherwise(F.col("py") / F.col("points")).alias("y"), "n", *max_of)
+    centroids = sums.selectExpr(
+        *found.keys, "CASE WHEN length > 0D THEN lx / length ELSE px / points END AS x",
+        "CASE WHEN length > 0D THEN ly / length ELSE py / points END AS y", "n", *max_of)
     if not max_of or id_scope == "cluster":
         return centroids
-    group = [k for k in keys]
+    group = list(keys)
     greatest = found.nodes.groupBy(*group).agg(*[F.max(c).alias(c) for c in max_of])
     return centroids.drop(*max_of).join(greatest, group)

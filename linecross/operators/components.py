@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from pyspark.sql import DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from linecross.staging import stage
+from linecross.staging import stage, stage_observed
 
 MAX_ROUNDS = 60
 
@@ -40,11 +38,10 @@ def _small_star(edges: DataFrame, keys: list[str]) -> DataFrame:
 
 def _settled(edges: DataFrame, keys: list[str]) -> bool:
     """True if the edges are stars: no node has two centres, and no centre hangs on another node."""
-    leaf, centre = F.lit(1).alias("leaf"), F.lit(0).alias("leaf")
-    ends = edges.select(*keys, F.col("u").alias("node"), leaf, F.lit(0).alias("hub")).unionByName(
-        edges.select(*keys, F.col("v").alias("node"), centre, F.lit(1).alias("hub")))
-    node = ends.groupBy(*keys, "node").agg(F.sum("leaf").alias("leaf"), F.max("hub").alias("hub"))
-    return node.where((F.col("leaf") > 1) | ((F.col("leaf") > 0) & (F.col("hub") > 0))).isEmpty()
+    ends = edges.selectExpr(*keys, "u AS node", "1 AS leaf", "0 AS hub").unionAll(
+        edges.selectExpr(*keys, "v AS node", "0 AS leaf", "1 AS hub"))
+    node = ends.groupBy(*keys, "node").agg(F.expr("sum(leaf) AS leaf"), F.expr("max(hub) AS hub"))
+    return node.where("leaf > 1 OR (leaf > 0 AND hub > 0)").isEmpty()
 
 
 def connected_components(edges: DataFrame, keys: list[str] = (), a: str = "a", b: str = "b") -> DataFrame:
@@ -56,14 +53,9 @@ def connected_components(edges: DataFrame, keys: list[str] = (), a: str = "a", b
     keys = list(keys)
     oriented = edges.where(F.col(a) != F.col(b)).select(
         *keys, F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    stars = stage(oriented, "edges")
+    stars, seen = stage_observed(oriented, "edges", n="count(*)")
     for _ in range(MAX_ROUNDS):
-        if _settled(stars, keys):
+        if not seen["n"] or _settled(stars, keys):
             return stars.select(*keys, F.col("u").alias("node"), F.col("v").alias("root"))
         stars = stage(_small_star(_large_star(stars, keys), keys), "stars")
     raise RuntimeError("connected components did not settle")
-
-
-def same_key(left: str, right: str, keys: list[str]) -> Column:
-    """Equality of all key columns of two aliased frames, NULL matching NULL."""
-    return reduce(lambda x, y: x & y, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys], F.lit(True))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from linecross.functions import planar
 
@@ -17,64 +17,40 @@ def explode_segments(df: DataFrame, geom: str = "geom") -> DataFrame:
     """One row per segment of every part, with end points, 2D length and measures. Zero-length ones are dropped."""
     parts = explode_parts(df, geom)
     rest = [c for c in parts.columns if c != "part"]
-    rows = parts.select(*rest, F.posexplode(planar.part_segments(F.col("part"))).alias("seg_no", "_s"))
-    ends = [F.col(f"_s.{v}.{axis}").alias(f"{axis}{n}") for n, v in ((1, "a"), (2, "b")) for axis in ("x", "y", "m")]
-    rows = rows.select(*rest, "seg_no", *ends)
-    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    return rows.where((dx != 0) | (dy != 0)).withColumn("seg_len", F.sqrt(dx * dx + dy * dy))
-
-
-def _endpoint_key(v: Column) -> Column:
-    return F.struct(v["x"].alias("x"), v["y"].alias("y"))
-
-
-def _merge(parts: Column) -> Column:
-    """Parts joined end to end into one vertex array; NULL if they do not form one simple chain."""
-    parts = F.filter(parts, lambda p: F.size(p) > 1)
-    vertex_array = "array<struct<x:double,y:double,z:double,m:double>>"
-
-    def head(p: Column) -> Column:
-        return _endpoint_key(p[0])
-
-    def tail(p: Column) -> Column:
-        return _endpoint_key(F.element_at(p, -1))
-
-    def attach(acc: Column) -> Column:
-        """Acc with the first remaining part that continues the chain at either end, if there is one."""
-        chain, rest = acc["chain"], acc["rest"]
-        touches = F.transform(rest, lambda p: F.when(head(p) == tail(chain), 1).when(tail(p) == tail(chain), 2)
-                              .when(tail(p) == head(chain), 3).when(head(p) == head(chain), 4).otherwise(0))
-        how_at = F.filter(F.transform(touches, lambda h, i: F.struct(h.alias("how"), i.alias("at"))),
-                          lambda s: s["how"] > 0)
-
-        def grown(step: Column) -> Column:
-            p = F.get(rest, step["at"])
-            backwards = F.reverse(p)
-            chain_after = (
-                F.when(step["how"] == 1, F.concat(chain, F.slice(p, 2, F.size(p))))
-                .when(step["how"] == 2, F.concat(chain, F.slice(backwards, 2, F.size(p))))
-                .when(step["how"] == 3, F.concat(p, F.slice(chain, 2, F.size(chain))))
-                .otherwise(F.concat(backwards, F.slice(chain, 2, F.size(chain)))))
-            turned = F.when(step["how"].isin(2, 4), 1).otherwise(0)
-            return F.struct(chain_after.alias("chain"),
-                            F.filter(rest, lambda _, i: i != step["at"]).alias("rest"),
-                            (acc["turned"] + turned).alias("turned"))
-        return planar.let(F.get(how_at, 0), lambda s: F.when(s.isNull(), acc).otherwise(grown(s)))
-
-    n = F.size(parts)
-    start = F.struct(F.get(parts, 0).alias("chain"), F.slice(parts, 2, n).alias("rest"), F.lit(0).alias("turned"))
-
-    def finish(acc: Column) -> Column:
-        # the merged line runs the way most of its parts did
-        against = acc["turned"] * 2 > n
-        return F.when(F.size(acc["rest"]) == 0, F.when(against, F.reverse(acc["chain"])).otherwise(acc["chain"]))
-
-    ends = F.flatten(F.transform(parts, lambda p: F.array(head(p), tail(p))))
-    branches = F.exists(ends, lambda e: F.size(F.filter(ends, lambda other: other == e)) > 2)
-    chained = F.aggregate(F.sequence(F.lit(2), n), start, lambda acc, _: attach(acc), finish)
-    return (F.when(n == 1, F.get(parts, 0))
-            .when((n > 1) & ~branches, chained)
-            .otherwise(F.lit(None).cast(vertex_array)))
+    rows = parts.select(*rest, F.posexplode(F.expr(planar.part_segments("part"))).alias("seg_no", "_s"))
+    ends = [f"_s.{v}.{axis} AS {axis}{n}" for n, v in ((1, "a"), (2, "b")) for axis in ("x", "y", "m")]
+    length = "sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) AS seg_len"
+    return rows.selectExpr(*rest, "seg_no", *ends).where("x1 <> x2 OR y1 <> y2").selectExpr("*", length)
+
+
+def _merge(geom: str) -> str:
+    """SQL for the parts joined end to end into one vertex array; NULL if they do not form one simple chain."""
+    def head(p: str) -> str:
+        return f"named_struct('x', get({p}, 0).x, 'y', get({p}, 0).y)"
+
+    def tail(p: str) -> str:
+        return f"named_struct('x', element_at({p}, -1).x, 'y', element_at({p}, -1).y)"
+
+    # the first remaining part that continues the chain: 1 at its end, 2 there reversed, 3 at its start, 4 there reversed
+    how = (f"CASE WHEN {head('p')} = {tail('acc.chain')} THEN 1 WHEN {tail('p')} = {tail('acc.chain')} THEN 2 "
+           f"WHEN {tail('p')} = {head('acc.chain')} THEN 3 WHEN {head('p')} = {head('acc.chain')} THEN 4 ELSE 0 END")
+    step = f"get(filter(transform(acc.rest, (p, i) -> named_struct('how', {how}, 'at', i, 'p', p)), f -> f.how > 0), 0)"
+    chain = ("CASE f.how WHEN 1 THEN concat(acc.chain, slice(f.p, 2, size(f.p))) "
+             "WHEN 2 THEN concat(acc.chain, slice(reverse(f.p), 2, size(f.p))) "
+             "WHEN 3 THEN concat(f.p, slice(acc.chain, 2, size(acc.chain))) "
+             "ELSE concat(reverse(f.p), slice(acc.chain, 2, size(acc.chain))) END")
+    grown = (f"named_struct('chain', {chain}, 'rest', filter(acc.rest, (r, j) -> j <> f.at), "
+             "'turned', acc.turned + CASE WHEN f.how IN (2, 4) THEN 1 ELSE 0 END)")
+    attach = planar.let("f", step, f"CASE WHEN f IS NULL THEN acc ELSE {grown} END")
+    # the merged line runs the way most of its parts did
+    finish = ("CASE WHEN size(acc.rest) = 0 THEN CASE WHEN acc.turned * 2 > size(parts) THEN reverse(acc.chain) "
+              "ELSE acc.chain END END")
+    start = "named_struct('chain', get(parts, 0), 'rest', slice(parts, 2, size(parts)), 'turned', 0)"
+    chained = f"aggregate(sequence(2, size(parts)), {start}, (acc, k) -> {attach}, acc -> {finish})"
+    ends = f"flatten(transform(parts, p -> array({head('p')}, {tail('p')})))"
+    branches = planar.let("ends", ends, "exists(ends, e -> size(filter(ends, o -> o = e)) > 2)")
+    merged = f"CASE WHEN size(parts) = 1 THEN get(parts, 0) WHEN size(parts) > 1 AND NOT {branches} THEN {chained} END"
+    return planar.let("parts", f"filter({geom}, p -> size(p) > 1)", merged)
 
 
 def merge_parts(df: DataFrame, geom: str = "geom", merged: str = "merged") -> DataFrame:
@@ -82,16 +58,15 @@ def merge_parts(df: DataFrame, geom: str = "geom", merged: str = "merged") -> Da
 
     NULL where the parts leave a gap or branch; route such rows to a reject output with ``merged IS NULL``.
     """
-    g = F.col(geom)
-    simple = (F.size(g) == 1) & (F.size(g[0]) > 1)
-    return df.withColumn(merged, F.when(simple, g[0]).otherwise(_merge(g)))
+    simple = f"size({geom}) = 1 AND size({geom}[0]) > 1"
+    return df.withColumn(merged, F.expr(f"CASE WHEN {simple} THEN {geom}[0] ELSE {_merge(geom)} END"))
 
 
 def point_line_distance(points: DataFrame, lines: DataFrame, on: str, geom: str = "geom",
                         x: str = "x", y: str = "y") -> DataFrame:
     """``points`` with ``distance`` to the line of the same ``on`` id (one row per id in ``lines``)."""
     joined = points.join(lines.select(on, F.col(geom).alias("_line")), on)
-    return joined.withColumn("distance", planar.distance_to_line(F.col("_line"), F.col(x), F.col(y))).drop("_line")
+    return joined.withColumn("distance", F.expr(planar.distance_to_line("_line", x, y))).drop("_line")
 
 
 def locate_points(points: DataFrame, lines: DataFrame, on: str, geom: str = "geom",
@@ -99,7 +74,7 @@ def locate_points(points: DataFrame, lines: DataFrame, on: str, geom: str = "geo
     """``points`` with ``fraction``: where along the merged line of the same id the nearest place lies."""
     merged = merge_parts(lines.select(on, F.col(geom).alias("_line")), "_line", "_merged").drop("_line")
     joined = points.join(merged, on)
-    return joined.withColumn("fraction", planar.fraction_along(F.col("_merged"), F.col(x), F.col(y))).drop("_merged")
+    return joined.withColumn("fraction", F.expr(planar.fraction_along("_merged", x, y))).drop("_merged")
 
 
 def locate_along(measures: DataFrame, lines: DataFrame, on: str, measure: str, geom: str = "geom",
@@ -109,6 +84,6 @@ def locate_along(measures: DataFrame, lines: DataFrame, on: str, measure: str, g
     A measure beyond the line gives no row, or a NULL point with ``keep_missing``, so that losses can be counted.
     """
     joined = measures.join(lines.select(on, F.col(geom).alias("_line")), on)
-    hits = planar.points_at_measure(F.col("_line"), F.col(measure))
+    hits = F.expr(planar.points_at_measure("_line", measure))
     explode = F.explode_outer if keep_missing else F.explode
     return joined.select(*measures.columns, explode(hits).alias("point"))

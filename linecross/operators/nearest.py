@@ -10,10 +10,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from linecross.functions import planar
-from linecross.staging import stage
+from linecross.staging import stage, stage_observed
 
 #: A finest cell with more pieces than this gets finer cells below it.
 PIECES_PER_CELL = 1_000
@@ -22,24 +22,23 @@ FINEST_CELL = 2.0 ** -20
 _ENDS = ("x1", "y1", "x2", "y2")
 
 
-def _piece_cells(size: Column | float) -> Column:
-    return planar.traversed_cells(*[F.col(c) for c in _ENDS], size)
+def _piece_cells(size: str) -> str:
+    return planar.traversed_cells(_ENDS, size)
 
 
 def _fullest_cell(pieces: DataFrame, keys: list[str], size: float) -> int:
-    counts = pieces.select(*keys, F.inline(_piece_cells(size))).groupBy(*keys, "cx", "cy").count()
+    counts = pieces.selectExpr(*keys, f"inline({_piece_cells(planar.number(size))})").groupBy(*keys, "cx", "cy").count()
     return counts.agg(F.max("count")).first()[0] or 0
 
 
-def _extent(points: DataFrame, pieces: DataFrame) -> float | None:
-    """Width of the square that holds all points and pieces, from one aggregate row per side."""
-    def box(df: DataFrame, xs: Sequence[str], ys: Sequence[str]) -> list[float | None]:
-        ends = [f(F.col(c)) for cols in (xs, ys) for f, group in ((F.min, cols), (F.max, cols)) for c in group]
-        return [v for v in df.agg(*[e.alias(f"c{i}") for i, e in enumerate(ends)]).first() if v is not None]
-    seen = box(points, ["px"], ["py"]), box(pieces, ["x1", "x2"], ["y1", "y2"])
-    if not all(seen):
-        return None
-    return max(map(abs, seen[0] + seen[1])) * 2 + 1
+def _extent(points: DataFrame, pieces: DataFrame) -> tuple[float, float, float]:
+    """West and south edge and width of the square that holds all points and pieces."""
+    corners = points.selectExpr("px AS w", "px AS e", "py AS s", "py AS n").unionAll(pieces.selectExpr(
+        "least(x1, x2) AS w", "greatest(x1, x2) AS e", "least(y1, y2) AS s", "greatest(y1, y2) AS n"))
+    box = corners.agg(F.expr("min(w) AS w"), F.expr("max(e) AS e"), F.expr("min(s) AS s"), F.expr("max(n) AS n")).first()
+    if box.w is None:
+        return 0.0, 0.0, 0.0
+    return box.w, box.s, max(box.e - box.w, box.n - box.s)
 
 
 def _first_per_place(pieces: DataFrame, keys: list[str], ties: list[str], k: int) -> DataFrame:
@@ -79,61 +78,73 @@ def nearest_k(points: DataFrame, pieces: DataFrame, k: int, ties: Sequence[str],
     if _fullest_cell(pieces, keys, finest) > pieces_per_cell:
         pieces = stage(_first_per_place(pieces, keys, ties + extra, k), "places")
         # a long segment must not run through too many of the finest cells
-        length = F.sqrt((F.col("x2") - F.col("x1")) ** 2 + (F.col("y2") - F.col("y1")) ** 2)
-        longest = pieces.agg(F.max(length)).first()[0] or 0.0
+        longest = pieces.agg(F.expr("max(sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)))")).first()[0] or 0.0
         floor_size = max(FINEST_CELL, longest / 1000)
         while finest / 4 > floor_size and _fullest_cell(pieces, keys, finest) > pieces_per_cell:
-            finest /= 4
+            finest /= 4  # stays a power of two below the limit
+    # sizes double from level to level; without a limit the last level is one cell for everything
+    west, south = 0.0, 0.0
     if max_distance is not None:
-        sizes = [max_distance]
-        while sizes[-1] > finest:
-            sizes.append(sizes[-1] / 2)
-        sizes.reverse()
+        last = round(math.log2(max_distance / finest))
     else:
-        width = _extent(places, pieces)
-        steps = 0 if width is None else max(0, math.ceil(math.log2(width / finest)))
-        sizes = [finest * 2 ** i for i in range(steps + 1)]
-    last = len(sizes) - 1
-    size = F.element_at(F.array(*[F.lit(float(s)) for s in sizes]), F.col("level") + 1)
+        west, south, width = _extent(places, pieces)
+        west, south = west - 1, south - 1
+        last = max(0, math.ceil(math.log2((width + 2) / finest))) + 1
+    size = f"({planar.number(finest)} * shiftleft(1L, level))"
+    if max_distance is None:
+        size = f"(CASE WHEN level = {last} THEN double('Infinity') ELSE {size} END)"
+
+    def cell(x: str, y: str) -> tuple[str, str]:
+        return (planar.cell_of(f"{x} - {planar.number(west)}", size), planar.cell_of(f"{y} - {planar.number(south)}", size))
+
+    def rows_at(levels: Sequence[int]) -> str:
+        return f"explode(array({', '.join(map(str, levels))})) AS level"
 
     if last == 0:
         levelled, used = places.withColumn("level", F.lit(0)), [0]
     else:
-        levels = F.explode(F.array(*[F.lit(i) for i in range(last)])).alias("level")
         # a piece counts in the cell of its first end: that end lies within the cell's diagonal of every point there
-        first_end = [planar.cell_of(F.col(c), size).alias(n) for c, n in (("x1", "cx"), ("y1", "cy"))]
-        full = pieces.select(*keys, "x1", "y1", levels).select(*keys, "level", *first_end).groupBy(
-            *keys, "level", "cx", "cy").count().where(F.col("count") >= k).drop("count")
-        own = [planar.cell_of(F.col(c), size).alias(n) for c, n in (("px", "cx"), ("py", "cy"))]
-        at_levels = places.select("*", levels).select("*", *own)
-        enough = at_levels.join(full, [*keys, "level", "cx", "cy"], "left_semi").groupBy(*keys, "px", "py").agg(
-            F.min("level").alias("level"))
+        at = [*keys, "level", "cx", "cy"]
+        count_cell, own_cell = cell("x1", "y1"), cell("px", "py")
+        full = pieces.selectExpr(*keys, "x1", "y1", rows_at(range(last))).selectExpr(
+            *keys, "level", f"{count_cell[0]} AS cx", f"{count_cell[1]} AS cy").groupBy(*at).count().where(
+            F.col("count") >= k).select(*at)
+        enough = places.selectExpr("*", rows_at(range(last))).selectExpr(
+            "*", f"{own_cell[0]} AS cx", f"{own_cell[1]} AS cy").join(full, at, "left_semi").groupBy(
+            *keys, "px", "py").agg(F.min("level").alias("level"))
         levelled = places.join(enough, [*keys, "px", "py"], "left").withColumn("level", F.coalesce("level", F.lit(last)))
-        levelled = stage(levelled, "levels")
-        used = sorted(r.level for r in levelled.select("level").distinct().collect())  # at most one row per level
+        levelled, seen = stage_observed(levelled, "levels", used="bit_or(shiftleft(1L, level))")
+        used = [level for level in range(last + 1) if (seen["used"] or 0) >> level & 1]
 
     # one candidate join: a point looks at the cells its radius can reach
-    reach = 1 if last == 0 and max_distance is not None else 2
-    cx, cy = planar.cell_of(F.col("px"), size), planar.cell_of(F.col("py"), size)
-    radius = size * (math.sqrt(2) * (1 + 1e-9))
-    if max_distance is not None:
-        radius = F.least(radius, F.lit(float(max_distance)))
-        radius = F.when(F.col("level") == last, F.lit(float(max_distance))).otherwise(radius)
+    diagonal = f"{size} * {planar.number(math.sqrt(2) * (1 + 1e-9))}"
+    if max_distance is None:
+        limit, reach, radius = "double('Infinity')", 2, diagonal
     else:
-        radius = F.when(F.col("level") == last, F.lit(float("inf"))).otherwise(radius)
-    around = levelled.select(*keys, "px", "py", "level", F.inline(planar.cells_around(cx, cy, reach)))
-    listed = pieces.select("*", F.explode(F.array(*[F.lit(i) for i in used] or [F.lit(0)])).alias("level"))
-    listed = listed.select("*", F.inline(_piece_cells(size)))
-    pairs = around.join(listed, [*keys, "level", "cx", "cy"])
-    ends = [F.col(c) for c in _ENDS]
-    t = planar.clamped_position(F.col("px"), F.col("py"), *ends)
-    spot = F.struct(planar.between(ends[0], ends[2], t).alias("sx"), planar.between(ends[1], ends[3], t).alias("sy"))
-    pairs = pairs.select("*", F.inline(F.array(spot)))
-    distance = planar.point_distance(F.col("px"), F.col("py"), F.col("sx"), F.col("sy"))
+        limit, reach = planar.number(float(max_distance)), 1 if last == 0 else 2
+        radius = f"least({limit}, {diagonal})"
+    offsets = [(dx, dy) for dx in range(-reach, reach + 1) for dy in range(-reach, reach + 1)]
+    around = ", ".join(f"named_struct('cx', ccx + {dx}L, 'cy', ccy + {dy}L)" for dx, dy in offsets)
+    own_cell, spot_cell = cell("px", "py"), cell("sx", "sy")
+    allowed = f"CASE WHEN level = {last} THEN {limit} ELSE {radius} END"
+    near = levelled.selectExpr(*keys, "px", "py", "level", f"{own_cell[0]} AS ccx", f"{own_cell[1]} AS ccy",
+                               f"{allowed} AS allowed").selectExpr(
+        *keys, "px", "py", "level", "allowed", "(allowed + 1e-5D) * (allowed + 1e-5D) AS allowed2", f"inline(array({around}))")
+    shifted = [f"({c} - {planar.number(o)})" for c, o in zip(_ENDS, (west, south, west, south))]
+    listed = pieces.selectExpr("*", rows_at(used or [0])).selectExpr("*", f"inline({planar.traversed_cells(shifted, size)})")
+    # the join compares boxes; inline keeps the exact distance out of the join condition, where it would be repeated
+    gap = [f"greatest(0D, least({v}1, {v}2) - p{v}, p{v} - greatest({v}1, {v}2))" for v in "xy"]
+    pairs = near.join(listed, [*keys, "level", "cx", "cy"]).where(f"{gap[0]} * {gap[0]} + {gap[1]} * {gap[1]} <= allowed2")
+
+    def step(df: DataFrame, **values: str) -> DataFrame:
+        return df.selectExpr("*", "inline(array(named_struct(" + ", ".join(f"'{n}', {v}" for n, v in values.items()) + ")))")
+    pairs = step(pairs, t=planar.clamped_position("px", "py", *_ENDS))
+    pairs = step(pairs, sx=planar.between("x1", "x2", "t"), sy=planar.between("y1", "y2", "t"))
+    candidates = step(pairs, distance=planar.point_distance("px", "py", "sx", "sy")).where("distance <= allowed")
+    if max_distance is not None:
+        candidates = candidates.where(f"distance < {limit}")
     # a segment may be listed in several cells: the nearest spot on it lies in one
-    home = (planar.cell_of(F.col("sx"), size) == F.col("cx")) & (planar.cell_of(F.col("sy"), size) == F.col("cy"))
-    limit = distance < max_distance if max_distance is not None else F.lit(True)
-    candidates = pairs.where(home & (distance <= radius) & limit).withColumn("distance", distance)
+    candidates = candidates.where(f"{spot_cell[0]} = cx AND {spot_cell[1]} = cy")
     best = _k_first(candidates.select(*keys, "px", "py", *ties, *extra, "distance"), [*keys, "px", "py"], ties, extra, k)
     return points.withColumn("px", F.col(x)).withColumn("py", F.col(y)).join(best, [*keys, "px", "py"]).select(
         *points.columns, *ties, *extra, "distance", "rank")
@@ -147,26 +158,19 @@ def nearest_within(points: DataFrame, pieces: DataFrame, distance: float, ties:
                      pieces_per_cell=pieces_per_cell).drop("rank")
 
 
-def _clip_hits_polygon(radius: float, quad_segs: int) -> Column:
+def _clip_hits_polygon(radius: float, quad_segs: int) -> str:
     """True if the segment meets the regular polygon that stands for a buffer around the point (Cyrus-Beck)."""
     sides = 4 * quad_segs
-    inner = radius * math.cos(math.pi / sides)
+    inner = planar.number(radius * math.cos(math.pi / sides))
     angles = [(i + 0.5) * 2 * math.pi / sides for i in range(sides)]
-    normals = F.array(*[F.struct(F.lit(math.cos(a)).alias("nx"), F.lit(math.sin(a)).alias("ny")) for a in angles])
-    ax, ay = F.col("x1") - F.col("px"), F.col("y1") - F.col("py")
-    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-
-    def cut(acc: Column, n: Column) -> Column:
-        # inside the half-plane where start + t * slope <= inner
-        start, slope = ax * n["nx"] + ay * n["ny"], dx * n["nx"] + dy * n["ny"]
-        parallel = F.abs(slope) < 1e-12
-        bound = F.when(parallel, F.lit(0.0)).otherwise((F.lit(inner) - start) / slope)
-        low = F.when(~parallel & (slope < 0), F.greatest(acc["low"], bound)).otherwise(acc["low"])
-        high = F.when(parallel & (start > inner), F.lit(-1.0)).when(
-            ~parallel & (slope > 0), F.least(acc["high"], bound)).otherwise(acc["high"])
-        return F.struct(low.alias("low"), high.alias("high"))
-    whole = F.struct(F.lit(0.0).alias("low"), F.lit(1.0).alias("high"))
-    return F.aggregate(normals, whole, cut, lambda acc: acc["low"] <= acc["high"])
+    normals = ", ".join(f"named_struct('nx', {math.cos(a)!r}D, 'ny', {math.sin(a)!r}D)" for a in angles)
+    # a half-plane keeps the part of the segment where start + t * slope <= inner
+    halves = (f"transform(array({normals}), n -> named_struct('start', (x1 - px) * n.nx + (y1 - py) * n.ny, "
+              "'slope', (x2 - x1) * n.nx + (y2 - y1) * n.ny))")
+    cut = (f"CASE WHEN abs(h.slope) < 1e-12D THEN named_struct('low', acc.low, 'high', CASE WHEN h.start > {inner} THEN -1D ELSE acc.high END) "
+           f"WHEN h.slope < 0D THEN named_struct('low', greatest(acc.low, ({inner} - h.start) / h.slope), 'high', acc.high) "
+           f"ELSE named_struct('low', acc.low, 'high', least(acc.high, ({inner} - h.start) / h.slope)) END")
+    return f"aggregate({halves}, named_struct('low', 0D, 'high', 1D), (acc, h) -> {cut}, acc -> acc.low <= acc.high)"
 
 
 def buffer_semi_join(points: DataFrame, segments: DataFrame, radius: float, point_id: str, quad_segs: int = 8,
@@ -185,14 +189,14 @@ def buffer_semi_join(points: DataFrame, segments: DataFrame, radius: float, poin
     near = stage(near.where(F.col("distance") <= radius).select(point_id, "px", "py", "distance"), "near")
     if true_distance:
         return points.join(near.select(point_id), point_id, "left_semi")
-    inner = planar.micrometre(F.lit(radius * math.cos(math.pi / (4 * quad_segs)))) - 1e-6
+    inner = radius * math.cos(math.pi / (4 * quad_segs)) - 2e-6
     ring = near.where(F.col("distance") > inner)
     hits = near.where(F.col("distance") <= inner).select(point_id)
     if not ring.isEmpty():
-        size = float(radius)
-        around = planar.cells_around(planar.cell_of(F.col("px"), size), planar.cell_of(F.col("py"), size), 2)
-        listed = shapes.select("*", F.inline(_piece_cells(size)))
-        pairs = ring.select(point_id, "px", "py", F.inline(around)).join(listed, ["cx", "cy"])
-        reach = planar.segment_point_distance(F.col("px"), F.col("py"), *[F.col(c) for c in _ENDS]) <= radius
-        hits = hits.unionByName(pairs.where(reach & _clip_hits_polygon(radius, quad_segs)).select(point_id))
+        size = planar.number(float(radius))
+        around = planar.cells_around(planar.cell_of("px", size), planar.cell_of("py", size), 2)
+        listed = shapes.selectExpr("*", f"inline({_piece_cells(size)})")
+        pairs = ring.selectExpr(point_id, "px", "py", f"inline({around})").join(listed, ["cx", "cy"])
+        close = f"{planar.segment_point_distance('px', 'py', *_ENDS)} <= {planar.number(float(radius))}"
+        hits = hits.unionByName(pairs.where(f"{close} AND {_clip_hits_polygon(radius, quad_segs)}").select(point_id))
     return points.join(hits.distinct(), point_id, "left_semi")

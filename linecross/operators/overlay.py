@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from linecross.functions import planar
 from linecross.operators.lines import explode_parts
@@ -23,20 +23,19 @@ COARSE = 16
 
 def _segments(df: DataFrame, id_col: str, attrs: Sequence[str], prefix: str) -> DataFrame:
     parts = explode_parts(df.select(id_col, *attrs, "geom"))
-    segs = F.explode(planar.part_segments(F.col("part")))
-    rows = parts.select(
-        F.col(id_col).alias(f"{prefix}id"), *[F.col(a) for a in attrs], F.col("part_no").alias(f"{prefix}part"),
-        F.xxhash64("part").alias(f"{prefix}print"), segs.alias("s"))
-    ends = [F.col(f"s.{v}.{axis}").alias(f"{prefix}{axis}{n}") for n, v in ((1, "a"), (2, "b")) for axis in ("x", "y")]
-    rows = rows.select(*[c for c in rows.columns if c != "s"], *ends)
-    x1, y1, x2, y2 = (F.col(f"{prefix}{n}") for n in ("x1", "y1", "x2", "y2"))
-    return rows.where((x1 != x2) | (y1 != y2))
+    named = [f"{id_col} AS {prefix}id", *attrs, f"part_no AS {prefix}part"]
+    rows = parts.selectExpr(*named, f"xxhash64(part) AS {prefix}print", f"explode({planar.part_segments('part')}) AS s")
+    ends = [f"s.{v}.{axis} AS {prefix}{axis}{n}" for n, v in ((1, "a"), (2, "b")) for axis in ("x", "y")]
+    rows = rows.selectExpr(*[c for c in rows.columns if c != "s"], *ends)
+    return rows.where(f"{prefix}x1 <> {prefix}x2 OR {prefix}y1 <> {prefix}y2")
+
+
+def _ends(prefix: str) -> list[str]:
+    return [f"{prefix}{n}" for n in ("x1", "y1", "x2", "y2")]
 
 
 def _celled(segments: DataFrame, prefix: str, size: float) -> DataFrame:
-    ends = [F.col(f"{prefix}{n}") for n in ("x1", "y1", "x2", "y2")]
-    cells = planar.traversed_cells(*ends, size)
-    return segments.select("*", F.inline(cells))
+    return segments.selectExpr("*", f"inline({planar.traversed_cells(_ends(prefix), planar.number(size))})")
 
 
 def _loads(left: DataFrame, right: DataFrame, budget: int) -> DataFrame:
@@ -69,77 +68,55 @@ def _hot_cells(left: DataFrame, right: DataFrame, cell: float, budget: int) -> D
 
 def _split(celled: DataFrame, hot: DataFrame, prefix: str, size: float) -> DataFrame:
     """Rows of hot cells repeated for the sub-cells they run through; other rows keep sub-cell (0, 0)."""
-    ends = [F.col(f"{prefix}{n}") for n in ("x1", "y1", "x2", "y2")]
-    marked = celled.join(hot, ["cx", "cy"], "left")
-    low_x, low_y = F.col("cx") * F.col("_f"), F.col("cy") * F.col("_f")
-    inside = F.filter(
-        planar.traversed_cells(*ends, F.lit(float(size)) / F.col("_f")),
-        lambda c: (c["cx"] >= low_x) & (c["cx"] < low_x + F.col("_f"))
-        & (c["cy"] >= low_y) & (c["cy"] < low_y + F.col("_f")))
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy")))
-    sub = F.when(F.col("_f").isNull(), whole).otherwise(inside)
-    marked = marked.withColumn("_f", F.coalesce("_f", F.lit(1)))
-    return marked.select("*", F.explode(sub).alias("_sub")).select(
-        "*", F.col("_sub.cx").alias("sx"), F.col("_sub.cy").alias("sy")).drop("_sub")
-
-
-def _meeting(eps: float = planar.SNAP) -> Column:
-    """Where segments ``l`` and ``r`` meet: ``struct<x1,y1,x2,y2>``, a point with equal ends, NULL if they do not."""
-    lx1, ly1, lx2, ly2, rx1, ry1, rx2, ry2 = (
-        F.col(f"{p}{n}") for p in "lr" for n in ("x1", "y1", "x2", "y2"))
-    ldx, ldy, rdx, rdy = lx2 - lx1, ly2 - ly1, rx2 - rx1, ry2 - ry1
-    qx, qy = rx1 - lx1, ry1 - ly1
-    llen, rlen = F.sqrt(ldx * ldx + ldy * ldy), F.sqrt(rdx * rdx + rdy * rdy)
-    den = ldx * rdy - ldy * rdx
-    crossing = F.abs(den) > 1e-12 * llen * rlen
-
-    def snapped(t: Column, length: Column) -> Column:
-        return F.when(F.abs(t) * length <= eps, F.lit(0.0)).when(F.abs(t - 1) * length <= eps, F.lit(1.0)).otherwise(t)
-
-    t = snapped((qx * rdy - qy * rdx) / den, llen)
-    u = snapped((qx * ldy - qy * ldx) / den, rlen)
-
-    def place(l1: Column, l2: Column, r1: Column, r2: Column, t: Column, u: Column) -> Column:
-        return (F.when(t == 0, l1).when(t == 1, l2).when(u == 0, r1).when(u == 1, r2).otherwise(l1 + t * (l2 - l1)))
-
-    def at_point(tu: Column) -> Column:
-        t, u = tu["t"], tu["u"]
-        x, y = place(lx1, lx2, rx1, rx2, t, u), place(ly1, ly2, ry1, ry2, t, u)
-        return F.when((t >= 0) & (t <= 1) & (u >= 0) & (u <= 1),
-                      F.struct(x.alias("x1"), y.alias("y1"), x.alias("x2"), y.alias("y2")))
-
-    same_carrier = F.abs(qx * ldy - qy * ldx) <= planar.ON_LINE * llen
+    marked = celled.join(hot, ["cx", "cy"], "left").selectExpr("* EXCEPT (_f)", "coalesce(_f, 1) AS _f")
+    cells = planar.traversed_cells(_ends(prefix), f"({planar.number(size)} / _f)")
+    inside = f"filter({cells}, c -> c.cx >= cx * _f AND c.cx < (cx + 1) * _f AND c.cy >= cy * _f AND c.cy < (cy + 1) * _f)"
+    sub = f"CASE WHEN _f = 1 THEN array(named_struct('cx', 0L, 'cy', 0L)) ELSE {inside} END"
+    return marked.selectExpr("*", f"explode({sub}) AS _sub").selectExpr("* EXCEPT (_sub)", "_sub.cx AS sx", "_sub.cy AS sy")
 
-    def position(x: Column, y: Column) -> Column:
-        return snapped(((x - lx1) * ldx + (y - ly1) * ldy) / (llen * llen), llen)
 
-    def overlap(p: Column) -> Column:
-        p1, p2 = p["p1"], p["p2"]
-        low, high = F.greatest(F.lit(0.0), F.least(p1, p2)), F.least(F.lit(1.0), F.greatest(p1, p2))
-
-        def vertex(at: Column) -> Column:
-            return F.when(at == 0, F.struct(lx1.alias("x"), ly1.alias("y"))).when(
-                at == 1, F.struct(lx2.alias("x"), ly2.alias("y"))).when(
-                at == p1, F.struct(rx1.alias("x"), ry1.alias("y"))).otherwise(F.struct(rx2.alias("x"), ry2.alias("y")))
-
-        def ordered(e: Column) -> Column:
-            a, b = F.least(e["a"], e["b"]), F.greatest(e["a"], e["b"])
-            return F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2"))
-        return F.when(high >= low, planar.let(F.struct(vertex(low).alias("a"), vertex(high).alias("b")), ordered))
-
-    parallel = planar.let(F.struct(position(rx1, ry1).alias("p1"), position(rx2, ry2).alias("p2")), overlap)
-    return F.when(crossing, planar.let(F.struct(t.alias("t"), u.alias("u")), at_point)).when(same_carrier, parallel)
-
-
-def _whole_pieces(pieces: Column) -> Column:
+def _meeting() -> str:
+    """Where segments ``l`` and ``r`` meet: ``struct<x1,y1,x2,y2>``, a point with equal ends, NULL if they do not."""
+    eps = planar.number(planar.SNAP)
+    shape = ("named_struct('ldx', lx2 - lx1, 'ldy', ly2 - ly1, 'rdx', rx2 - rx1, 'rdy', ry2 - ry1, 'qx', rx1 - lx1, 'qy', ry1 - ly1, "
+             "'llen', sqrt((lx2 - lx1) * (lx2 - lx1) + (ly2 - ly1) * (ly2 - ly1)), "
+             "'rlen', sqrt((rx2 - rx1) * (rx2 - rx1) + (ry2 - ry1) * (ry2 - ry1)))")
+    den = "(g.ldx * g.rdy - g.ldy * g.rdx)"
+
+    def snapped(t: str, length: str) -> str:
+        return planar.let("w", t, f"CASE WHEN abs(w) * {length} <= {eps} THEN 0D WHEN abs(w - 1D) * {length} <= {eps} THEN 1D ELSE w END")
+
+    def place(axis: str) -> str:
+        return (f"CASE WHEN h.t = 0D THEN l{axis}1 WHEN h.t = 1D THEN l{axis}2 WHEN h.u = 0D THEN r{axis}1 "
+                f"WHEN h.u = 1D THEN r{axis}2 ELSE l{axis}1 + h.t * (l{axis}2 - l{axis}1) END")
+    hit = (f"named_struct('t', {snapped(f'(g.qx * g.rdy - g.qy * g.rdx) / {den}', 'g.llen')}, "
+           f"'u', {snapped(f'(g.qx * g.ldy - g.qy * g.ldx) / {den}', 'g.rlen')})")
+    spot = planar.let("e", f"named_struct('x', {place('x')}, 'y', {place('y')})",
+                      "named_struct('x1', e.x, 'y1', e.y, 'x2', e.x, 'y2', e.y)")
+    at_point = planar.let("h", hit, f"CASE WHEN h.t BETWEEN 0D AND 1D AND h.u BETWEEN 0D AND 1D THEN {spot} END")
+
+    def position(v: str) -> str:
+        return snapped(f"((rx{v} - lx1) * g.ldx + (ry{v} - ly1) * g.ldy) / (g.llen * g.llen)", "g.llen")
+
+    def vertex(at: str) -> str:
+        ends = [(f"{at} = 0D", "l", 1), (f"{at} = 1D", "l", 2), (f"{at} = p.p1", "r", 1), ("true", "r", 2)]
+        return "CASE " + " ".join(f"WHEN {test} THEN named_struct('x', {s}x{v}, 'y', {s}y{v})" for test, s, v in ends) + " END"
+    shared = planar.let(
+        "c", "named_struct('low', greatest(0D, least(p.p1, p.p2)), 'high', least(1D, greatest(p.p1, p.p2)))",
+        "CASE WHEN c.high >= c.low THEN " + planar.let(
+            "e", f"array_sort(array({vertex('c.low')}, {vertex('c.high')}))",
+            "named_struct('x1', e[0].x, 'y1', e[0].y, 'x2', e[1].x, 'y2', e[1].y)") + " END")
+    parallel = planar.let("p", f"named_struct('p1', {position('1')}, 'p2', {position('2')})", shared)
+    return planar.let("g", shape, (
+        f"CASE WHEN abs({den}) > 1e-12D * g.llen * g.rlen THEN {at_point} "
+        f"WHEN abs(g.qx * g.ldy - g.qy * g.ldx) <= {planar.number(planar.ON_LINE)} * g.llen THEN {parallel} END"))
+
+
+def _whole_pieces(pieces: str) -> str:
     """Distinct pieces of one part pair, without points that lie on an overlap of the same pair."""
-    def is_line(p: Column) -> Column:
-        return (p["x1"] != p["x2"]) | (p["y1"] != p["y2"])
-
-    def on(p: Column, line: Column) -> Column:
-        return planar.segment_point_distance(p["x1"], p["y1"], line["x1"], line["y1"], line["x2"], line["y2"]) == 0
-    kept = F.filter(pieces, lambda p: is_line(p) | ~F.exists(pieces, lambda o: is_line(o) & on(p, o)))
-    return F.when(F.size(pieces) == 1, pieces).otherwise(kept)
+    on = planar.segment_point_distance("p.x1", "p.y1", "o.x1", "o.y1", "o.x2", "o.y2")
+    return (f"CASE WHEN size({pieces}) = 1 THEN {pieces} ELSE filter({pieces}, p -> p.x1 <> p.x2 OR p.y1 <> p.y2 "
+            f"OR NOT exists({pieces}, o -> (o.x1 <> o.x2 OR o.y1 <> o.y2) AND {on} = 0D)) END")
 
 
 def intersect_lines(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
@@ -160,39 +137,33 @@ def intersect_lines(left: DataFrame, right: DataFrame, left_id: str, right_id: s
     r_segments = _segments(right, right_id, right_attrs, "r")
     l_cells, r_cells = _celled(l_segments, "l", cell), _celled(r_segments, "r", cell)
 
-    keys, scale = ["cx", "cy"], F.lit(float(cell))
+    keys, scale = ["cx", "cy"], planar.number(float(cell))
     hot = _hot_cells(l_segments, r_segments, cell, pairs_per_cell)
     if hot is not None:
         l_cells, r_cells = _split(l_cells, hot, "l", cell), _split(r_cells, hot, "r", cell).drop("_f")
         keys += ["sx", "sy"]
-        scale = scale / F.col("_f")
+        scale = f"({scale} / _f)"
 
     if part_pairing == "lockstep":
         l_cells, r_cells = l_cells.withColumn("_p", F.col("lpart")), r_cells.withColumn("_p", F.col("rpart"))
         keys += ["_p"]
-    pairs = l_cells.join(r_cells, keys)
-    c = F.col
-    boxes_touch = ((F.least(c("lx1"), c("lx2")) <= F.greatest(c("rx1"), c("rx2")) + planar.CELL_SLACK)
-                   & (F.least(c("rx1"), c("rx2")) <= F.greatest(c("lx1"), c("lx2")) + planar.CELL_SLACK)
-                   & (F.least(c("ly1"), c("ly2")) <= F.greatest(c("ry1"), c("ry2")) + planar.CELL_SLACK)
-                   & (F.least(c("ry1"), c("ry2")) <= F.greatest(c("ly1"), c("ly2")) + planar.CELL_SLACK))
+    slack = planar.number(planar.CELL_SLACK)
+    boxes_touch = " AND ".join(
+        f"least({p}{axis}1, {p}{axis}2) <= greatest({q}{axis}1, {q}{axis}2) + {slack}" for axis in "xy" for p, q in ("lr", "rl"))
     # inline evaluates the intersection once; a filter on a projected column would repeat it
-    met = pairs.where(boxes_touch).select("*", F.inline(F.array_compact(F.array(_meeting()))))
-    home_x, home_y = planar.cell_of(F.col("x1"), scale), planar.cell_of(F.col("y1"), scale)
+    met = l_cells.join(r_cells, keys).where(boxes_touch).selectExpr("*", f"inline(array_compact(array({_meeting()})))")
+    home_x, home_y = planar.cell_of("x1", scale), planar.cell_of("y1", scale)
     if "sx" in keys:
-        whole = F.col("_f") == 1
-        here = (home_x == F.when(whole, F.col("cx")).otherwise(F.col("sx"))) & (
-            home_y == F.when(whole, F.col("cy")).otherwise(F.col("sy")))
+        here = f"{home_x} = CASE WHEN _f = 1 THEN cx ELSE sx END AND {home_y} = CASE WHEN _f = 1 THEN cy ELSE sy END"
     else:
-        here = (home_x == F.col("cx")) & (home_y == F.col("cy"))
+        here = f"{home_x} = cx AND {home_y} = cy"
 
     # one group holds the pieces of a single part pair, so two rows' geometry bounds it
     group = ["lid", *left_attrs, "lpart", "lprint", "rid", *right_attrs, "rpart"]
-    grouped = met.where(here).groupBy(*group).agg(
-        F.collect_set(F.struct("x1", "y1", "x2", "y2")).alias("_pieces"))
-    return grouped.select("*", F.inline(_whole_pieces(F.col("_pieces")))).select(
-        F.col("lid").alias(left_id), F.col("rid").alias(right_id), *left_attrs, *right_attrs,
-        F.col("lpart").alias("left_part"), F.col("rpart").alias("right_part"), "x1", "y1", "x2", "y2")
+    grouped = met.where(here).groupBy(*group).agg(F.expr("collect_set(struct(x1, y1, x2, y2)) AS pieces"))
+    return grouped.selectExpr(
+        f"lid AS {left_id}", f"rid AS {right_id}", *left_attrs, *right_attrs, "lpart AS left_part", "rpart AS right_part",
+        f"inline({_whole_pieces('pieces')})")
 
 
 def spatial_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, cell: float = 100.0) -> DataFrame:

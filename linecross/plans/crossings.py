@@ -59,8 +59,8 @@ def _on_streams(points: DataFrame, streams: DataFrame) -> DataFrame:
                             F.col("downstream_route_measure").alias("_offset"), "stream_order", F.col("geom").alias("_line"))
     shared = [c for c in points.columns if c in wanted.columns and c != _STREAM]
     joined = merge_parts(points.drop(*shared).join(wanted, _STREAM), "_line", "_merged")
-    fraction = planar.fraction_along(F.col("_merged"), F.col("x"), F.col("y"))
-    return joined.withColumn("measure", fraction * F.col("length_metre") + F.col("_offset")).drop("_merged", "_offset")
+    measure = f"{planar.fraction_along('_merged', 'x', 'y')} * length_metre + _offset AS measure"
+    return joined.selectExpr("* EXCEPT (_merged, _offset)", measure)
 
 
 def _crossing_columns(df: DataFrame) -> DataFrame:
@@ -75,8 +75,7 @@ def _crossing_columns(df: DataFrame) -> DataFrame:
 def _simple_crossings(centroids: DataFrame, streams: DataFrame) -> DataFrame:
     """One crossing per cluster: moved along its stream, then placed by the measure."""
     measured = _on_streams(centroids, streams)
-    hits = planar.points_at_measure(F.col("_line"), F.col("measure"))
-    return _crossing_columns(measured.select("*", F.explode(hits).alias("geom")))
+    return _crossing_columns(measured.selectExpr("*", f"explode({planar.points_at_measure('_line', 'measure')}) AS geom"))
 
 
 def _dra_crossings(centroids: DataFrame, pieces: DataFrame, streams: DataFrame, roads: DataFrame) -> DataFrame:
@@ -89,12 +88,10 @@ def _dra_crossings(centroids: DataFrame, pieces: DataFrame, streams: DataFrame,
     neighbours = nearest_k(spots, pieces, NEIGHBOURS, [_STREAM, "line_number", "x1", "y1", "x2", "y2"], [_REGION])
     candidates = neighbours.groupBy(_REGION, "x", "y", _STREAM).agg(F.min("distance").alias("distance"))
     candidates = candidates.withColumnRenamed(_REGION, "_region")
-    measured = _on_streams(candidates, streams).where(
-        planar.distance_to_line(F.col("_line"), F.col("x"), F.col("y")) < STREAM_DISTANCE)
-    hits = planar.points_at_measure(F.col("_line"), F.col("measure"))
+    measured = _on_streams(candidates, streams).where(f"{planar.distance_to_line('_line', 'x', 'y')} < {STREAM_DISTANCE}D")
     order = F.struct(F.coalesce(-F.col("stream_order"), F.lit(-2 ** 31)), "distance", _STREAM)
     carried = [_STREAM, _REGION, "blue_line_key", "wscode_ltree", "localcode_ltree", "measure", "hits"]
-    best = measured.withColumn("hits", hits).groupBy("_region", "x", "y").agg(
+    best = measured.withColumn("hits", F.expr(planar.points_at_measure("_line", "measure"))).groupBy("_region", "x", "y").agg(
         F.min_by(F.struct(*carried), order).alias("_best"))
     located = best.select(F.struct("_region", "x", "y").alias("spot"), "_best.*").select(
         "*", F.posexplode("hits").alias("hit", "geom")).drop("hits")
@@ -106,7 +103,7 @@ def _dra_crossings(centroids: DataFrame, pieces: DataFrame, streams: DataFrame,
     nearest = nearest_k(spots_on_stream, pieces.withColumnRenamed(_STREAM, "stream"), 1, ties, [_REGION])
     road_lines = roads.select(F.col("line_number"), F.col("geom").alias("_line"))
     near = nearest.select("spot", "hit", "line_number", "x", "y").join(road_lines, "line_number").where(
-        planar.distance_to_line(F.col("_line"), F.col("x"), F.col("y")) < ROAD_DISTANCE)
+        f"{planar.distance_to_line('_line', 'x', 'y')} < {ROAD_DISTANCE}D")
     chosen = near.select("spot", "hit", "line_number")
     rows = located.join(chosen, ["spot", "hit"]).withColumns({"source": F.lit("dra"), "line_text": F.lit(None).cast("string")})
     return _crossing_columns(rows)

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from linecross.functions import planar
 from linecross.schema import LINE, POINT
 
 _VERTEX_ARRAY = T.ArrayType(T.DoubleType())
@@ -127,5 +128,9 @@ def read_codes(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 def promote_to_multi(df: DataFrame, geom: str = "geom") -> DataFrame:
     """Layer with single-part lines (one vertex array) turned into multi-part ones."""
-    from linecross.functions import planar
-    return df.withColumn(geom, planar.promote_to_multi(F.col(geom)))
+    return df.withColumn(geom, F.expr(planar.promote_to_multi(geom)))
+
+
+def force_2d(df: DataFrame, geom: str = "geom") -> DataFrame:
+    """Layer with z and m of its lines removed."""
+    return df.withColumn(geom, F.expr(planar.force_2d(geom)))

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 _local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
@@ -33,3 +33,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_observed(df: DataFrame, label: str, **metrics: str) -> tuple[DataFrame, dict]:
+    """As ``stage``, and the values of SQL aggregates over ``df`` that the same job computes on the way."""
+    seen = Observation()
+    staged = stage(df.observe(seen, *[F.expr(sql).alias(name) for name, sql in metrics.items()]), label)
+    return staged, seen.get
