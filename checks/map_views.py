@@ -185,7 +185,9 @@ def layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             df = df.withColumn("geom", F.expr(geom))
         if name == "streams":
             df = df.withColumn("waterbody_key", F.lit(None)).withColumn("upstream_route_measure", F.col(_M) + F.col("length_metre"))
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in _SCHEMAS[name]])
+        typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in _SCHEMAS[name]])
+        # a real layer has many files; without this a small one is a single scan task
+        return typed.repartition(spark.sparkContext.defaultParallelism)
     return remembered(spark, sf_dir, f"layer-{name}", make)
 
 

@@ -199,8 +199,8 @@ def cluster_centroids(pieces: DataFrame, keys: Sequence[str], tolerance: float |
     """One row per cluster: ``keys, x, y, n`` and the maximum of the ``max_of`` columns.
 
     The centroid is the mean of the points; if the cluster holds a line piece, only lines count, by length.
-    ``id_scope='group'`` takes the maximum over all pieces with equal ``keys``, so every cluster of a stream gets
-    the same one; ``'cluster'`` takes it within the cluster.
+    ``id_scope='group'`` takes the maximum over all pieces with equal ``keys`` and tolerance, so every cluster of a
+    stream gets the same one; ``'cluster'`` takes it within the cluster.
     """
     if id_scope not in ("group", "cluster"):
         raise ValueError(f"id_scope: {id_scope!r}")
@@ -212,6 +212,5 @@ def cluster_centroids(pieces: DataFrame, keys: Sequence[str], tolerance: float |
         "CASE WHEN length > 0D THEN ly / length ELSE py / points END AS y", "n", *max_of)
     if not max_of or id_scope == "cluster":
         return centroids
-    group = list(keys)
-    greatest = found.nodes.groupBy(*group).agg(*[F.max(c).alias(c) for c in max_of])
-    return centroids.drop(*max_of).join(greatest, group)
+    greatest = found.nodes.groupBy(*found.keys).agg(*[F.max(c).alias(c) for c in max_of])
+    return centroids.drop(*max_of).join(greatest, found.keys)

@@ -28,7 +28,8 @@ def crossing_order() -> list[Column]:
 def numbered_crossings(inputs: Mapping[str, DataFrame], **options) -> DataFrame:
     """Crossings of all line layers in ``inputs``, with ids but before merging and classification."""
     layers = {name: inputs[name] for name in LINE_LAYERS if name in inputs}
-    raw = find_crossings(inputs["streams"], layers, **options)
+    # staged because range partitioning reads its input twice
+    raw = stage(find_crossings(inputs["streams"], layers, **options), "found")
     rows = assign_ids(raw, crossing_order())
     typed = rows.withColumns({
         "modelled_crossing_id": F.col("modelled_crossing_id").cast("int"),
@@ -58,7 +59,8 @@ def model_crossings(inputs: Mapping[str, DataFrame], archive: DataFrame | None =
 def run(spark: SparkSession, inputs: Mapping[str, DataFrame], out: str, archive: DataFrame | None = None, **options) -> DataFrame:
     """Write the crossings table and the four reports below ``out``; return the table read back."""
     write_crossings(model_crossings(inputs, archive, **options), f"{out}/crossings")
-    crossings = spark.read.schema(CROSSINGS).parquet(f"{out}/crossings")
+    # the partition column comes last when read, so the order is restored
+    crossings = spark.read.schema(CROSSINGS).parquet(f"{out}/crossings").select(*CROSSINGS.fieldNames())
     for name, report in REPORTS.items():
         write_report(report(crossings), f"{out}/reports/{name}")
     return crossings
