@@ -67,7 +67,7 @@ def _linked_cells(nodes: DataFrame, keys: list[str], tolerance: str) -> DataFram
         "* EXCEPT (cx, cy)", f"inline(array({targets}))")
     b = _prefixed(nodes, columns, "b", [*keys, "cx", "cy"])
     near, far = _box_distances()
-    return a.join(b, [*keys, "cx", "cy"]).where(f"{near} <= {tolerance}").selectExpr(
+    return a.hint("merge").join(b, [*keys, "cx", "cy"]).where(f"{near} <= {tolerance}").selectExpr(
         *keys, "anode AS a", "bnode AS b", "an", "bn", f"{far} <= {tolerance} AS sure")
 
 
@@ -131,8 +131,8 @@ def _linked_to_lines(pieces: DataFrame, keys: list[str], tolerance: str) -> Data
     b_lines = _prefixed(lines.selectExpr("*", f"inline({run})"), geometry, "b", at)
     b_points = _prefixed(pieces.select(*at, "node", "x1", "y1").distinct(), ["node", "x1", "y1"], "b", at)
     near_point = planar.segment_point_distance("bx1", "by1", "ax1", "ay1", "ax2", "ay2")
-    to_points = a.join(b_points, at).where(f"anode <> bnode AND {near_point} <= {tolerance}")
-    to_lines = a.join(b_lines, at).where(f"anode < bnode AND {planar.segment_distance('a', 'b')} <= {tolerance}")
+    to_points = a.hint("merge").join(b_points, at).where(f"anode <> bnode AND {near_point} <= {tolerance}")
+    to_lines = a.hint("merge").join(b_lines, at).where(f"anode < bnode AND {planar.segment_distance('a', 'b')} <= {tolerance}")
     nodes = [*keys, "anode AS a", "bnode AS b"]
     return to_points.selectExpr(*nodes).unionByName(to_lines.selectExpr(*nodes)).distinct()
 

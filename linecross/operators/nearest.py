@@ -132,9 +132,10 @@ def nearest_k(points: DataFrame, pieces: DataFrame, k: int, ties: Sequence[str],
         *keys, "px", "py", "level", "allowed", "(allowed + 1e-5D) * (allowed + 1e-5D) AS allowed2", f"inline(array({around}))")
     shifted = [f"({c} - {planar.number(o)})" for c, o in zip(_ENDS, (west, south, west, south))]
     listed = pieces.selectExpr("*", rows_at(used or [0])).selectExpr("*", f"inline({planar.traversed_cells(shifted, size)})")
-    # the join compares boxes; inline keeps the exact distance out of the join condition, where it would be repeated
+    # Merge join: the planner's sizes leave out the exploded cells, so it could broadcast far more than its limit.
+    # The join compares boxes; inline keeps the exact distance out of the join condition, where it would be repeated.
     gap = [f"greatest(0D, least({v}1, {v}2) - p{v}, p{v} - greatest({v}1, {v}2))" for v in "xy"]
-    pairs = near.join(listed, [*keys, "level", "cx", "cy"]).where(f"{gap[0]} * {gap[0]} + {gap[1]} * {gap[1]} <= allowed2")
+    pairs = near.hint("merge").join(listed, [*keys, "level", "cx", "cy"]).where(f"{gap[0]} * {gap[0]} + {gap[1]} * {gap[1]} <= allowed2")
 
     def step(df: DataFrame, **values: str) -> DataFrame:
         return df.selectExpr("*", "inline(array(named_struct(" + ", ".join(f"'{n}', {v}" for n, v in values.items()) + ")))")

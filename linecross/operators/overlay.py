@@ -151,7 +151,8 @@ def intersect_lines(left: DataFrame, right: DataFrame, left_id: str, right_id: s
     boxes_touch = " AND ".join(
         f"least({p}{axis}1, {p}{axis}2) <= greatest({q}{axis}1, {q}{axis}2) + {slack}" for axis in "xy" for p, q in ("lr", "rl"))
     # inline evaluates the intersection once; a filter on a projected column would repeat it
-    met = l_cells.join(r_cells, keys).where(boxes_touch).selectExpr("*", f"inline(array_compact(array({_meeting()})))")
+    # and the planner's sizes leave out the exploded cells, so the merge join keeps it from broadcasting one side
+    met = l_cells.hint("merge").join(r_cells, keys).where(boxes_touch).selectExpr("*", f"inline(array_compact(array({_meeting()})))")
     home_x, home_y = planar.cell_of("x1", scale), planar.cell_of("y1", scale)
     if "sx" in keys:
         here = f"{home_x} = CASE WHEN _f = 1 THEN cx ELSE sx END AND {home_y} = CASE WHEN _f = 1 THEN cy ELSE sy END"
