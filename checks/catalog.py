@@ -11,8 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.map_views import all_layers, layer, remembered, spark_view
-from checks.oracle import (ALONG, CENTRE, IDS, STREAM_DISTANCE, box_distance, point_box_distance, point_segment_distance, roots_sql,
-                           um, with_views)
+from checks.oracle import ALONG, IDS, STREAM_DISTANCE, point_segment_distance, roots_sql, um, with_views
 from linecross.operators import classify as rules, filters
 from linecross.operators.cluster import cluster_centroids, cluster_within
 from linecross.operators.ids import assign_ids, match_archive
@@ -267,16 +266,13 @@ def _(spark, sf):
 
 # --- distances and linear referencing ---------------------------------------------------------------------
 
-_PSCIS_POINT = "SELECT stream_crossing_id, linear_feature_id, {x} AS x, {y} AS y FROM {source}"
-
-
 def _stray_points(spark: SparkSession, sf: str) -> DataFrame:
     """Points near streams: the bridges, each with the stream of its block's number."""
     mot = layer(spark, sf, "mot")
     streams = layer(spark, sf, "streams").selectExpr("linear_feature_id", "linear_feature_id - 1000 AS k")
-    n = layer(spark, sf, "streams").selectExpr("count(*) AS n")
+    n = layer(spark, sf, "streams").select(F.count("*")).scalar()
     points = mot.selectExpr("CAST(hwy_structure_class_id AS bigint) AS point_id", "geom.x AS x", "geom.y AS y")
-    return points.join(F.broadcast(n)).withColumn("k", F.col("point_id") % F.col("n")).join(streams, "k").select(
+    return points.withColumn("k", F.col("point_id") % n).join(streams, "k").select(
         "point_id", "linear_feature_id", "x", "y")
 
 
