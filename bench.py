@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
-``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local threads. Layers and the inputs of single operators are written
-before the clock starts; ``model_crossings`` is the whole run from layers to classified crossings.
+``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local threads. The layers are written before the clock starts. The steps
+of the whole run (find, merge, classify, report) follow each other, and each one starts from the table the step before wrote.
 """
 
 from __future__ import annotations
@@ -13,11 +13,18 @@ import time
 from pyspark.sql import SparkSession
 
 from checks import catalog
-from checks.map_views import all_layers, forget
+from checks.map_views import all_layers
 from linecross.session import configure
 
-OPERATORS = ("intersect_lines_lockstep", "cluster_by_stream", "nearest_5", "nearest_within", "merge_ften", "classify", "match_archive")
-PIPELINES = ("rail_crossings_per_region", "crossings_dra", "model_crossings", "report_region")
+STEPS = {
+    "overlay": catalog._all_pieces,
+    "cluster_by_stream": catalog.QUERIES["cluster_by_stream"],
+    "find_crossings": catalog.numbered_crossings,
+    "merge_by_priority": catalog.merged_crossings,
+    "classify": catalog.final_crossings,
+    **{name: catalog.QUERIES[name] for name in ("report_region", "report_obs_sources", "nearest_within", "match_archive",
+                                                "rail_crossings_per_region")},
+}
 
 
 def main() -> None:
@@ -29,14 +36,10 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
     all_layers(spark, sf_dir)
-    catalog.merged_crossings(spark, sf_dir)
-    catalog._all_pieces(spark, sf_dir)
-    catalog._spots(spark, sf_dir)
     seconds = {}
-    for name in OPERATORS + PIPELINES:
-        forget("final")
+    for name, step in STEPS.items():
         start = time.perf_counter()
-        catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        step(spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
     print(json.dumps({"metric": "line crossing queries, total wall time", "value": round(sum(seconds.values()), 3), "unit": "sec",
                       "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
