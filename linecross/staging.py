@@ -1,38 +1,43 @@
 """Write intermediate tables once, and read them back.
 
 A staged table cuts lineage, gives the planner real file sizes, and outlives the executors that wrote it.
-It goes below the folder the session names in ``spark.checkpoint.dir``.
+It goes below the folder the session names in ``spark.checkpoint.dir``; ``discard`` deletes it once it is superseded.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-_local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
+#: Used in local mode only, and only if neither the setting nor ``setCheckpointDir`` names a folder.
+LOCAL_DEFAULT = "/tmp/linecross-checkpoints"
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Folder for staged tables; a temporary one only for an unset setting in local mode."""
+    """Folder for staged tables: one below the session's checkpoint folder, which all executors share."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if configured:
-        return f"{configured.rstrip('/')}/linecross-{sc.applicationId}"
-    if not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder which all executors share")
-    if sc.applicationId not in _local_dirs:
-        _local_dirs[sc.applicationId] = tempfile.TemporaryDirectory(prefix="linecross-")
-    return _local_dirs[sc.applicationId].name
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder which all executors share")
+        sc.setCheckpointDir(LOCAL_DEFAULT)
+        configured = sc.getCheckpointDir()
+    if not sc.master.startswith("local[") and configured.startswith("file:") and not sc.master.startswith("local-cluster"):
+        raise ValueError(f"spark.checkpoint.dir is a machine's own folder: {configured}")
+    return f"{configured.rstrip('/')}/linecross-{sc.applicationId}"
+
+
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path below the staging folder that nothing else uses."""
+    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the staging folder and return the table read back."""
-    spark = df.sparkSession
-    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stage_observed(df: DataFrame, label: str, **metrics: str) -> tuple[DataFrame, dict]:
@@ -40,3 +45,19 @@ def stage_observed(df: DataFrame, label: str, **metrics: str) -> tuple[DataFrame
     seen = Observation()
     staged = stage(df.observe(seen, *[F.expr(sql).alias(name) for name, sql in metrics.items()]), label)
     return staged, seen.get
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever store its scheme names; a missing one is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that no later plan reads."""
+    for table in tables:
+        spark = table.sparkSession
+        root = staging_root(spark)
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            if f"/{root.rsplit('/', 1)[1]}/" in folder:
+                delete_path(spark, folder)

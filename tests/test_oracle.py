@@ -3,6 +3,7 @@
 import pytest
 
 from checks.compare import connect, differences
+from checks.catalog import QUERIES as CATALOG
 from __spark_entry__ import entry, oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
@@ -15,10 +16,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    own = {name for name in QUERIES if name in CATALOG}
+    assert own == set(CATALOG) and own <= set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(CATALOG))
 def test_query(spark, duck, name):
     assert differences(spark, duck, QUERIES[name], ORACLE[name], SF) is None
 
