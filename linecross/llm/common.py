@@ -11,9 +11,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from linecross.staging import delete_path, new_path, staging_root
+from linecross.staging import delete_path, discard, new_path, stage
 
-__all__ = ["delete_path", "map_batches", "new_path", "read_table", "shared_folder", "words", "fold_ascii", "strings", "crc_mod"]
+__all__ = ["crc_mod", "delete_path", "discard", "fold_ascii", "local_path", "map_batches", "new_path", "ranges", "read_table",
+           "shared_folder", "stage", "words", "write_file"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +30,6 @@ def words(text: str | None) -> list[bytes]:
 fold_ascii = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def strings(column: pa.Array | pa.ChunkedArray) -> list[str | None]:
-    return column.to_pylist()
-
-
 def crc_mod(column: str, modulus: int) -> str:
     """SQL for crc32 of a column as text, modulo; a null counts as the empty text."""
     return f"crc32(coalesce(cast({column} as string), '')) % {modulus}"

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linecross.llm.bpe import bpe_digests
 from linecross.llm.common import read_table
+from linecross.llm.quality import quality_scores
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -15,11 +16,17 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op8_bpe": op8_bpe,
 }
 
