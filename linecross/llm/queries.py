@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linecross.llm.bpe import bpe_digests
 from linecross.llm.common import read_table
+from linecross.llm.langid import held_out, predict_language, train_language_model
 from linecross.llm.quality import quality_scores
 
 
@@ -21,12 +22,20 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = train_language_model(docs.where(f"NOT {held_out(3)}"))
+    return predict_language(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.expr(held_out(3)).alias("held_out"), "lang_pred", "score")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_language_id": op2_language_id,
     "op8_bpe": op8_bpe,
 }
 
