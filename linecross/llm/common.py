@@ -72,6 +72,6 @@ def write_file(uri: str, data: bytes | memoryview) -> None:
     store, path = fs.FileSystem.from_uri(uri)
     store.create_dir(os.path.dirname(path), recursive=True)
     part = f"{path}.{os.getpid()}-{os.urandom(4).hex()}"
-    with store.open_output_stream(part) as out:
+    with store.open_output_stream(part, compression=None) as out:
         out.write(data)
     store.move(part, path)

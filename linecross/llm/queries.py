@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linecross.llm.bpe import bpe_digests
 from linecross.llm.common import read_table
+from linecross.llm.html_text import extract_text, train_block_model
 from linecross.llm.langid import held_out, predict_language, train_language_model
 from linecross.llm.quality import quality_scores
+from linecross.llm.warc import warc_round_trip
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -29,6 +31,17 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.expr(held_out(3)).alias("held_out"), "lang_pred", "score")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return extract_text(pages.select("page_id", "url", "html"), train_block_model(pages)).select(
+        "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records, _ = warc_round_trip(spark, read_table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read_table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -36,7 +49,17 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
+    "op5_html_text": op5_html_text,
+    "op7_warc": op7_warc,
     "op8_bpe": op8_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+             f AS (SELECT payload_digest, max(page_id) AS first FROM p WHERE payload_bytes >= 1000 GROUP BY ALL)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN coalesce(first = page_id, true) THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM p LEFT JOIN f USING (payload_digest)""",
+}
