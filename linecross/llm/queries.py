@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linecross.llm.bpe import bpe_digests
-from linecross.llm.common import read_table
+from linecross.llm.common import read_table, shared_folder, stage
 from linecross.llm.html_text import extract_text, train_block_model
 from linecross.llm.langid import held_out, predict_language, train_language_model
+from linecross.llm.packing import pack_documents
 from linecross.llm.quality import quality_scores
 from linecross.llm.warc import warc_round_trip
 
@@ -46,12 +47,19 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op9_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return stage(pack_documents(read_table(spark, sf_dir, "documents"), shared_folder(spark, "packed"),
+                                vocabulary_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, end=50256), "segments")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
     "op5_html_text": op5_html_text,
     "op7_warc": op7_warc,
     "op8_bpe": op8_bpe,
+    "op9_token_packing": op9_token_packing,
 }
 
 ORACLE: dict[str, str] = {
