@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linecross.llm.bpe import bpe_digests
 from linecross.llm.common import read_table, shared_folder, stage
+from linecross.llm.decontaminate import find_leaks
 from linecross.llm.html_text import extract_text, train_block_model
 from linecross.llm.langid import held_out, predict_language, train_language_model
 from linecross.llm.packing import pack_documents
@@ -32,6 +33,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.expr(held_out(3)).alias("held_out"), "lang_pred", "score")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     return extract_text(pages.select("page_id", "url", "html"), train_block_model(pages)).select(
@@ -56,6 +61,7 @@ def op9_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
+    "op4_decontamination": op4_decontamination,
     "op5_html_text": op5_html_text,
     "op7_warc": op7_warc,
     "op8_bpe": op8_bpe,
