@@ -34,6 +34,7 @@ BLOCK_BYTES = 32 << 20
 _PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 #: Random values for the walks, fixed by their seeds.
 _STEPS = 4096
+_HAS, _SPREAD = 1 << 24, 7_368_787
 MATCHES = "doc_id bigint, item_id bigint, first_word int, n_words int, distance int"
 
 
@@ -109,6 +110,10 @@ class Items:
                     lists.append((hashes[order], np.array(members)[order]))
                 tables.append((mine, lists))
             self.classes.append({"length": length, "postings": postings[:, 1:], "first": first, "tables": tables})
+        # Which words an item has, as a table of bits by hash: it may say yes too often, never no wrongly.
+        self.has = np.zeros(_HAS, bool)
+        for n, (_, words, _) in enumerate(self.items):
+            self.has[(n * _SPREAD + words) % _HAS] = True
         self.sizes = np.array([len(words) for _, words, _ in self.items])
         self.most = np.array([most for _, _, most in self.items])
 
@@ -153,6 +158,18 @@ class Items:
         low, high = np.maximum(start - most, low)[good], np.minimum(start + most + 1, high)[good]
         return np.unique(ranges(low, np.maximum(high - low, 0)))
 
+    def _enough(self, ids: np.ndarray, begin: np.ndarray, ends: np.ndarray, item: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Whether so many words near a start seem to be the item's that its distance is not ruled out."""
+        low = np.maximum(start - 2 * self.most[item], begin[start])
+        high = np.minimum(start + self.sizes[item] + 2 * self.most[item], ends[start])
+        good = np.zeros(len(item), bool)
+        for part in range(0, len(item), 20_000):
+            cut = slice(part, part + 20_000)
+            counts = high[cut] - low[cut]
+            hit = self.has[(np.repeat(item[cut] * _SPREAD, counts) + ids[ranges(low[cut], counts)]) % _HAS]
+            good[cut] = np.add.reduceat(hit, np.cumsum(counts) - counts, dtype=np.int64) >= (self.sizes - self.most)[item[cut]]
+        return good
+
     def search(self, rows: list[int], texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         """(row, item, first word, words, distance) of each item in each text."""
         get, parts, sizes = self.vocabulary.get, [], []
@@ -182,7 +199,9 @@ class Items:
                         pairs.append(members[ranges(left[hit], counts)] * len(ids) + np.repeat(starts[hit], counts))
             if not pairs:
                 continue
-            for n, start in (divmod(p, len(ids)) for p in np.unique(np.concatenate(pairs)).tolist()):
+            item, start = np.divmod(np.unique(np.concatenate(pairs)), len(ids))
+            good = self._enough(ids, first_of, ends, item, start)
+            for n, start in zip(item[good].tolist(), start[good].tolist()):
                 own = int(document[start])
                 item_id, words, most = self.items[n]
                 seen = found.get((own, n))
@@ -199,7 +218,7 @@ class Items:
                 for (own, n), (first, size, distance) in found.items()]
 
 
-def item_blocks(benchmark: DataFrame, max_share: float = 0.25, walks: int = 6, draws: int = 8, sampled: int = 3):
+def item_blocks(benchmark: DataFrame, max_share: float = 0.25, walks: int = 4, draws: int = 8, sampled: int = 3):
     """Search structures of the benchmark, a block at a time."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("text IS NOT NULL AND item_id IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
