@@ -75,3 +75,52 @@ def write_file(uri: str, data: bytes | memoryview) -> None:
     with store.open_output_stream(part, compression=None) as out:
         out.write(data)
     store.move(part, path)
+
+
+_RANDOM = np.random.default_rng(20240229)
+_BYTE_VALUE = _RANDOM.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_POWER = np.uint64(0x9E3779B97F4A7C15)
+
+
+def mix64(values: np.ndarray) -> np.ndarray:
+    """A bijection of unsigned 64-bit integers that spreads every bit."""
+    with np.errstate(over="ignore"):
+        values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        values = (values ^ (values >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return values ^ (values >> np.uint64(32))
+
+
+def hashed_words(texts: list[str | None], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, the same on every worker, and the number of words of each text."""
+    parts = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    data = b"\n".join(parts) + b"\n"
+    codes = np.frombuffer(data.translate(fold_ascii) if lower else data, np.uint8)
+    inside = ~_IS_SPACE[codes]
+    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, ends = edge[::2], edge[1::2]
+    if not len(starts):
+        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+    lengths = ends - starts
+    letters = np.flatnonzero(inside)
+    first = np.cumsum(lengths) - lengths
+    powers = np.full(int(lengths.max()), _POWER)
+    powers[0] = 1
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(powers)
+        hashes = np.add.reduceat(_BYTE_VALUE[codes[letters]] * powers[np.arange(len(letters)) - np.repeat(first, lengths)], first)
+    text_ends = np.cumsum([len(p) + 1 for p in parts])
+    counts = np.diff(np.searchsorted(starts, text_ends), prepend=0)
+    return mix64(hashes), counts
+
+
+def text_slices(texts: list[str | None], size: int = 4_000_000):
+    """Ranges of rows of about ``size`` characters each; a longer text has a range of its own."""
+    first, total = 0, 0
+    for n, text in enumerate(texts):
+        total += len(text or "")
+        if total >= size:
+            yield first, n + 1
+            first, total = n + 1, 0
+    if first < len(texts):
+        yield first, len(texts)

@@ -10,6 +10,7 @@ from linecross.llm.bpe import bpe_digests
 from linecross.llm.common import read_table, shared_folder, stage
 from linecross.llm.decontaminate import find_leaks
 from linecross.llm.html_text import extract_text, train_block_model
+from linecross.llm.jaccard import similar_documents
 from linecross.llm.langid import held_out, predict_language, train_language_model
 from linecross.llm.packing import pack_documents
 from linecross.llm.quality import quality_scores
@@ -58,6 +59,10 @@ def op9_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 vocabulary_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, end=50256), "segments")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_warc": op7_warc,
     "op8_bpe": op8_bpe,
     "op9_token_packing": op9_token_packing,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {
