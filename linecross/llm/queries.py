@@ -12,6 +12,7 @@ from linecross.llm.decontaminate import find_leaks
 from linecross.llm.html_text import extract_text, train_block_model
 from linecross.llm.jaccard import similar_documents
 from linecross.llm.langid import held_out, predict_language, train_language_model
+from linecross.llm.lm import language_model_scores
 from linecross.llm.packing import pack_documents
 from linecross.llm.quality import quality_scores
 from linecross.llm.warc import warc_round_trip
@@ -34,6 +35,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.expr(held_out(3)).alias("held_out"), "lang_pred", "score")
 
 
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", F.expr(held_out(5)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -66,6 +72,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
+    "op3_language_model": op3_language_model,
     "op4_decontamination": op4_decontamination,
     "op5_html_text": op5_html_text,
     "op7_warc": op7_warc,
