@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 #: Used in local mode only, and only if neither the setting nor ``setCheckpointDir`` names a folder.
 LOCAL_DEFAULT = "/tmp/linecross-checkpoints"
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def staging_root(spark: SparkSession) -> str:
     """Folder for staged tables: one below the session's checkpoint folder, which all executors share."""
@@ -34,10 +36,19 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` below the staging folder and return the table read back."""
-    path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` below the staging folder and return the table read back.
+
+    Shuffle files of the write go as soon as it ends: nothing reads them again once the table is there.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def stage_observed(df: DataFrame, label: str, **metrics: str) -> tuple[DataFrame, dict]:
