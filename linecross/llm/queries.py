@@ -15,6 +15,7 @@ from linecross.llm.langid import held_out, predict_language, train_language_mode
 from linecross.llm.lm import language_model_scores
 from linecross.llm.packing import pack_documents
 from linecross.llm.quality import quality_scores
+from linecross.llm.substring_dedup import removal_digests
 from linecross.llm.warc import warc_round_trip
 
 
@@ -50,6 +51,10 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_digests(read_table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records, _ = warc_round_trip(spark, read_table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_model": op3_language_model,
     "op4_decontamination": op4_decontamination,
     "op5_html_text": op5_html_text,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_warc": op7_warc,
     "op8_bpe": op8_bpe,
     "op9_token_packing": op9_token_packing,
