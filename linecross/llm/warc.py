@@ -14,6 +14,7 @@ response; an empty table gives no archives and no rows; records of any size are
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -30,6 +31,7 @@ ARCHIVE_BYTES = 48 << 20
 _PIECE = 1 << 20
 _GZIP = b"\x1f\x8b\x08"
 _VERSION = b"WARC/1."
+_VERSION_LINE = re.compile(rb"WARC/1\.\d\r\n")
 #: A header block longer than this is damage.
 _MOST_HEADER = 64 << 10
 RECORDS = "kind string, page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, " \
@@ -195,11 +197,14 @@ def read_record(source: Source, at: int) -> tuple[dict, int]:
 
 
 def _next_start(source: Source, at: int) -> int:
-    """Next place from ``at`` on where a member that opens with a version line, or a plain version line, begins; else the file's end."""
+    """Next place from ``at`` on where a member that opens with a version line, or a plain version line, begins; else the file's end.
+
+    Damage may have eaten the line break before a version line, so a whole one counts anywhere; a false one fails its own checks.
+    """
     zipped, plain = source.find(_GZIP, at), source.find(_VERSION, at)
     while zipped >= 0 or plain >= 0:
         if plain >= 0 and (zipped < 0 or plain < zipped):
-            if plain == 0 or source.read(plain - 1, 1) == b"\n":
+            if _VERSION_LINE.match(source.read(plain, 10)):
                 return plain
             plain = source.find(_VERSION, plain + 1)
             continue
