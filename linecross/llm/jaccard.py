@@ -7,9 +7,10 @@ share of common shingles reaches the threshold; the result is the component of e
 of hash buckets; any order gives the same links, a good one keeps frequent shingles out of the index. Similar sets share a
 shingle among the first ``n - ceil(t * n) + 1`` of both, so only these are listed.
 
-*Lists.* The list of a shingle is ordered by family (smallest shingle under another hash) and size. Lists of seemingly frequent
-shingles are dealt out over several partitions by salt. Every set takes its most frequent list neighbour as the set it probably
-resembles; these pairs, one per set at most, are verified first.
+*Lists.* The list of a shingle is ordered by size class and position. The first entry of a class is its hub: it has the fewest rare
+shingles before the common one, as the original of a group of edited copies does. Lists of seemingly frequent shingles are dealt out
+over several partitions by salt. Every set takes the hub and the list neighbour that it meets most often as sets it probably
+resembles; these pairs, two per set at most, are verified first.
 
 *Answers from similar sets.* A set that turns out to resemble another needs no answers of its own inside the other's component, so
 only list entries of different components are compared from there on. They are grouped into blocks of a component and size class,
@@ -33,7 +34,8 @@ from linecross.llm.common import discard, hashed_words, map_batches, mix64, stag
 from linecross.operators.components import connected_components
 
 #: Buckets of the estimate of shingle counts: a table of fixed size, whatever the corpus.
-BUCKETS, CHUNK = 1 << 18, 1 << 12
+BUCKETS, CHUNK = 1 << 20, 1 << 14
+_SHIFT = np.uint64(64 - 20)
 
 
 def shingle_sets(texts: list[str | None], n: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -65,15 +67,14 @@ def shingle_sets(texts: list[str | None], n: int = 5) -> tuple[np.ndarray, np.nd
     return found[fresh], np.bincount(own[fresh], minlength=len(texts))
 
 
-def _signatures(sets: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of each non-empty set, and its family; rows of empty sets are left out."""
+def _signatures(sets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A hash of each non-empty set; empty sets are left out."""
     full = sizes[sizes > 0]
     if not len(full):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    first = np.cumsum(full) - full
+        return np.empty(0, np.int64)
     with np.errstate(over="ignore"):
-        total = np.add.reduceat(mix64(sets + np.uint64(0x632BE59BD9B4E019)), first)
-        return mix64(total + full.astype(np.uint64)).view(np.int64), np.minimum.reduceat(mix64(sets ^ np.uint64(0xA0761D6478BD642F)), first).view(np.int64)
+        total = np.add.reduceat(mix64(sets + np.uint64(0x632BE59BD9B4E019)), np.cumsum(full) - full)
+        return mix64(total + full.astype(np.uint64)).view(np.int64)
 
 
 def _scan(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
@@ -84,9 +85,9 @@ def _scan(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
             texts = batch.column(1).to_pylist()
             for a, b in text_slices(texts):
                 sets, sizes = shingle_sets(texts[a:b], n)
-                counted += np.bincount((sets >> np.uint64(46)).astype(np.int64), minlength=BUCKETS)
+                counted += np.bincount((sets >> _SHIFT).astype(np.int64), minlength=BUCKETS)
                 sig = np.zeros(b - a, np.int64)
-                sig[sizes > 0] = _signatures(sets, sizes)[0]
+                sig[sizes > 0] = _signatures(sets, sizes)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(sizes), pa.array(sig, mask=sizes == 0), pa.nulls(b - a, pa.int32()),
                      pa.nulls(b - a, pa.binary())], _SCAN)
@@ -117,7 +118,7 @@ _SCAN = ["doc_id", "n_shingles", "sig", "chunk", "counts"]
 
 
 def _postings(docs: DataFrame, table: np.ndarray, n: int, percent: int) -> DataFrame:
-    """(token, salt, sig, family, n, pos) for the prefix of every set. A list expects ``2 ** 12`` entries per salt at most."""
+    """(token, salt, class, pos, n, sig) for the prefix of every set. A list expects ``2 ** 12`` entries per salt at most."""
     shared = docs.sparkSession.sparkContext.broadcast(table.astype(np.int64))  # BUCKETS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +128,7 @@ def _postings(docs: DataFrame, table: np.ndarray, n: int, percent: int) -> DataF
             texts = batch.column(0).to_pylist()
             for a, b in text_slices(texts):
                 sets, sizes = shingle_sets(texts[a:b], n)
-                sig, family = _signatures(sets, sizes)
+                sig = _signatures(sets, sizes)
                 sizes = sizes[sizes > 0]
                 # Copies of a set that this task has listed already add nothing.
                 fresh = np.zeros(len(sig), bool)
@@ -139,9 +140,10 @@ def _postings(docs: DataFrame, table: np.ndarray, n: int, percent: int) -> DataF
                 if not fresh.any():
                     continue
                 sets = sets[np.repeat(fresh, sizes)]
-                sig, family, sizes = sig[fresh], family[fresh], sizes[fresh]
+                sig, sizes = sig[fresh], sizes[fresh]
+                size_class = np.floor(np.log(sizes) / np.log(100 / percent)).astype(np.int32)
                 owner = np.repeat(np.arange(len(sizes)), sizes)
-                often = counted[(sets >> np.uint64(46)).astype(np.int64)]
+                often = counted[(sets >> _SHIFT).astype(np.int64)]
                 order = np.lexsort((sets, often, owner))
                 pos = np.arange(len(sets)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 prefix = sizes - -(-percent * sizes // 100) + 1
@@ -149,53 +151,64 @@ def _postings(docs: DataFrame, table: np.ndarray, n: int, percent: int) -> DataF
                 chosen, owner, pos = order[kept], owner[kept], pos[kept]
                 salts = 1 + np.maximum(0, often[chosen] - 2 * usual) // 4096
                 salt = (sig[owner].view(np.uint64) % salts.astype(np.uint64)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(sets[chosen].view(np.int64)), pa.array(salt), pa.array(sig[owner]), pa.array(family[owner]),
-                                                  pa.array(sizes[owner].astype(np.int32)), pa.array(pos.astype(np.int32))], _POSTING)
+                yield pa.RecordBatch.from_arrays([pa.array(sets[chosen].view(np.int64)), pa.array(salt), pa.array(size_class[owner]),
+                                                  pa.array(pos.astype(np.int32)), pa.array(sizes[owner].astype(np.int32)), pa.array(sig[owner])], _POSTING)
 
-    return docs.select("text").mapInArrow(run, "token bigint, salt int, sig bigint, family bigint, n int, pos int")
+    return docs.select("text").mapInArrow(run, "token bigint, salt int, class int, pos int, n int, sig bigint")
 
 
-_POSTING = ["token", "salt", "sig", "family", "n", "pos"]
+_POSTING = ["token", "salt", "class", "pos", "n", "sig"]
 
 
 def _shared_lists(postings: DataFrame) -> DataFrame:
-    """Entries of lists that may have company, each with its neighbour in the list; copies of a set are one entry.
+    """Entries of lists that may have company, each with the entry before it in the list and the hub of its size class.
 
-    Lists arrive whole and ordered, but only one entry is held at a time beyond the batch, so a list may be of any length.
+    Copies of a set are one entry. Lists arrive whole and ordered, but only an entry and a hub are held beyond the batch, so a list
+    may be of any length.
     """
-    ordered = postings.repartition(F.col("token"), F.col("salt")).sortWithinPartitions("token", "salt", "family", "n", "sig")
+    ordered = postings.repartition(F.col("token"), F.col("salt")).sortWithinPartitions("token", "salt", "class", "pos", "n", "sig")
 
-    def emit(rows: list[np.ndarray], context: bool, last: bool) -> pa.RecordBatch:
-        token, salt, sig, _, n, pos = rows
+    def emit(rows: list[np.ndarray], context: bool, last: bool) -> tuple[pa.RecordBatch, list[np.ndarray]]:
+        """Rows hold a hub, a past entry if ``context``, new entries, and one still to come unless ``last``."""
+        token, salt, size_class, pos, n, sig = rows
         size = len(token)
         same = np.zeros(size + 1, bool)
         same[1:size] = (token[1:] == token[:-1]) & (salt[1:] == salt[:-1])
+        opens = ~same[:-1]
+        opens[1:] |= size_class[1:] != size_class[:-1]
+        hub = np.maximum.accumulate(np.where(opens, np.arange(size), 0))
+        same[1] &= context
         take = same[:-1] | same[1:] | (salt > 0)
         take[1:] &= ~(same[1:size] & (sig[1:] == sig[:-1]))
-        take[0] &= not context
+        take[:1 + context] = False
         take[-1] &= last
         at = np.flatnonzero(take)
-        before, alone = np.maximum(at - 1, 0), ~same[at]
-        return pa.RecordBatch.from_arrays([pa.array(token[at]), pa.array(sig[at]), pa.array(n[at]), pa.array(pos[at]), pa.array(sig[before], mask=alone),
-                                           pa.array(n[before], mask=alone)], ["token", "sig", "n", "pos", "near", "near_n"])
+        before, alone, own = np.maximum(at - 1, 0), ~same[at], sig[hub[at]] == sig[at]
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(token[at]), pa.array(sig[at]), pa.array(n[at]), pa.array(pos[at]), pa.array(sig[before], mask=alone), pa.array(n[before], mask=alone),
+             pa.array(sig[hub[at]], mask=own), pa.array(n[hub[at]], mask=own)], ["token", "sig", "n", "pos", "near", "near_n", "hub", "hub_n"])
+        # The hub of the entry that stands last but one leads the next rows.
+        return batch, [r[[hub[-2], -2, -1]] for r in rows]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The last entry of a batch waits until the one after it is known; the entry before it is kept for comparison.
+        # The last entry of a batch waits until the one after it is known; the entry before it is kept for comparison, the hub for pairs.
         held, context = None, False
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = [batch.column(c).to_numpy() for c in _POSTING]
-            if held is not None:
-                rows = [np.concatenate([h, r]) for h, r in zip(held, rows)]
-            if len(rows[0]) > 1:
-                yield emit(rows, context, False)
+            # The first entry of all stands in for the hub.
+            rows = [np.concatenate([r[:1] if held is None else h, r]) for h, r in zip(held or rows, rows)]
+            if len(rows[0]) > 2 + context:
+                out, held = emit(rows, context, False)
+                yield out
                 context = True
-            held = [r[-2:].copy() for r in rows]
+            else:
+                held = rows
         if held is not None:
-            yield emit(held, context, True)
+            yield emit(held, context, True)[0]
 
-    return ordered.mapInArrow(run, "token bigint, sig bigint, n int, pos int, near bigint, near_n int")
+    return ordered.mapInArrow(run, "token bigint, sig bigint, n int, pos int, near bigint, near_n int, hub bigint, hub_n int")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -223,7 +236,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, n: int) -> Da
         out, texts = [], batch.column(1).to_pylist()
         for a, b in text_slices(texts):
             sets, sizes = shingle_sets(texts[a:b], n)
-            sig = _signatures(sets, sizes)[0]
+            sig = _signatures(sets, sizes)
             sizes = sizes[sizes > 0]
             parts = np.split(sets, np.cumsum(sizes)[:-1]) if len(sizes) else []
             out.append(pa.RecordBatch.from_arrays([pa.array(sig), pa.array([p.astype("<u8").tobytes() for p in parts], pa.binary())], ["sig", "set"]))
@@ -242,10 +255,13 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFra
     def fits(a: str, b: str) -> str:
         return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
-    # One neighbour per set: the one it meets in most lists.
-    met = lists.where(f"near IS NOT NULL AND {fits('n', 'near_n')}").groupBy("sig", "near").agg(F.count(F.lit(1)).alias("lists"))
-    best = met.groupBy("sig").agg(F.max_by("near", F.struct("lists", "near")).alias("near"))
-    first = stage(best.selectExpr("greatest(sig, near) AS a", "least(sig, near) AS b").distinct(), "first-pairs")
+    # One hub and one neighbour per set: those it meets in most lists.
+    both = lists.select("sig", F.explode(F.array(
+        F.expr(f"if({fits('n', 'hub_n')}, struct(true AS is_hub, hub AS other), null)"),
+        F.expr(f"if({fits('n', 'near_n')}, struct(false AS is_hub, near AS other), null)"))).alias("m")).where("m.other IS NOT NULL")
+    met = both.groupBy("sig", "m.is_hub", "m.other").agg(F.count(F.lit(1)).alias("lists"))
+    best = met.groupBy("sig", "is_hub").agg(F.max_by("other", F.struct("lists", "other")).alias("other"))
+    first = stage(best.selectExpr("greatest(sig, other) AS a", "least(sig, other) AS b").distinct(), "first-pairs")
     wanted = first.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
     sets = stage(_sets_of(docs, nodes, wanted, n), "wanted-sets")
     links = stage(_verified(first, sets, percent), "links")
