@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -31,7 +32,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = SparkSession.builder.master(f"local[{cpus}]").config("spark.sql.shuffle.partitions", cpus).config(
-        "spark.ui.enabled", "false").config("spark.driver.memory", "16g").config("spark.sql.session.timeZone", "UTC").config(
+        "spark.ui.enabled", "false").config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="linecross-")).config("spark.driver.memory", "16g").config("spark.sql.session.timeZone", "UTC").config(
         "spark.ui.showConsoleProgress", "false").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)

@@ -129,9 +129,10 @@ def _(spark, sf):
     return both.selectExpr(*casts).groupBy(*IDS).agg(F.count("*").alias("n"))
 
 
-@register("source_of", f"""
-    SELECT id AS crossing_id, CASE {' '.join(f"WHEN {c} IS NOT NULL THEN '{s}'" for s, c in zip(job.LINE_LAYERS, IDS))} END AS source
-    FROM o_merged3""")
+_SOURCE_CASE = f"""CASE {' '.join(f"WHEN {c} IS NOT NULL THEN '{s}'" for s, c in zip(job.LINE_LAYERS, IDS))} END"""
+
+
+@register("source_of", f"SELECT id AS crossing_id, {_SOURCE_CASE} AS source FROM o_merged3")
 def _(spark, sf):
     return filters.source_of(merged_crossings(spark, sf)).selectExpr("CAST(modelled_crossing_id AS bigint) AS crossing_id", "source")
 
@@ -523,12 +524,9 @@ def _(spark, sf):
         "CAST(modelled_crossing_id AS bigint) AS crossing_id", "linear_feature_id", *_PLACE)
 
 
-_SRC = """count(*) FILTER (transport_line_id IS NOT NULL) AS src_dra,
-    count(*) FILTER (transport_line_id IS NULL AND ften_road_section_lines_id IS NOT NULL) AS src_ften,
-    count(*) FILTER (coalesce(CAST(transport_line_id AS VARCHAR), ften_road_section_lines_id) IS NULL
-      AND og_road_segment_permit_id IS NOT NULL) AS src_ogcpermit,
-    count(*) FILTER (coalesce(CAST(transport_line_id AS VARCHAR), ften_road_section_lines_id, CAST(og_road_segment_permit_id AS VARCHAR)) IS NULL
-      AND og_petrlm_dev_rd_pre06_pub_id IS NOT NULL) AS src_ogcpre06"""
+_SRC = ", ".join(f"count(*) FILTER (source = '{source}') AS {column}" for source, column in (
+    ("dra", "src_dra"), ("ften", "src_ften"), ("ogc", "src_ogcpermit"), ("ogcpre06", "src_ogcpre06")))
+_WITH_SOURCE = f"(SELECT *, {_SOURCE_CASE} AS source FROM o_final)"
 
 
 def _register_report(name: str, report: Callable[[DataFrame], DataFrame], sql: str) -> None:
@@ -538,10 +536,10 @@ def _register_report(name: str, report: Callable[[DataFrame], DataFrame], sql: s
 
 
 _register_report("report_total", reports.report_total, "SELECT kind AS modelled_crossing_type, count(*) AS n FROM o_final GROUP BY ALL")
-_register_report("report_source", reports.report_source, f"SELECT {_SRC} FROM o_final")
+_register_report("report_source", reports.report_source, f"SELECT {_SRC} FROM {_WITH_SOURCE}")
 _register_report("report_region", reports.report_region, f"""
     SELECT watershed_group_code, count(*) AS total, count(*) FILTER (kind = 'CBS') AS xing_type_cbs,
-      count(*) FILTER (kind = 'OBS') AS xing_type_obs, {_SRC} FROM o_final GROUP BY watershed_group_code""")
+      count(*) FILTER (kind = 'OBS') AS xing_type_obs, {_SRC} FROM {_WITH_SOURCE} GROUP BY watershed_group_code""")
 _register_report("report_obs_sources", reports.report_obs_sources, """
     SELECT tags AS modelled_crossing_type_sources, count(*) AS n FROM o_final WHERE kind = 'OBS' GROUP BY ALL""")
 

@@ -77,6 +77,9 @@ def tag_crossings(crossings: DataFrame, evidence: dict[str, DataFrame]) -> DataF
     The id tables are combined into one row per crossing first, so the crossings are joined once. No evidence gives
     type ``CBS`` and NULL tags.
     """
+    if not evidence:
+        return crossings.withColumns({"modelled_crossing_type": F.lit("CBS"),
+                                      "modelled_crossing_type_source": F.lit(None).cast("array<string>")})
     ids = [df.select(_KEY, F.lit(i).alias("_rule")) for i, df in enumerate(evidence.values())]
     rules = ids[0]
     for more in ids[1:]:
@@ -91,23 +94,18 @@ def tag_crossings(crossings: DataFrame, evidence: dict[str, DataFrame]) -> DataF
     }).drop(*[f"_has{i}" for i in range(len(ids))])
 
 
-# Tags in rule order.
-TAGS = ("FWA_STREAM_ORDER", "FWA_EDGE_TYPE", "MOT_ROAD_STRUCTURE_SP", "PSCIS", "TRANSPORT_LINE_STRUCTURE_CODE",
-        "GBA_RAILWAY_STRUCTURE_LINES_SP")
-
-
 def default_rules(streams: DataFrame, mot: DataFrame, pscis_events: DataFrame, pscis_points: DataFrame, dra: DataFrame,
                   rail_structures: DataFrame) -> dict[str, Callable[[DataFrame], DataFrame]]:
     """The six rules by tag; each maps crossings to the ids with that evidence."""
-    rules = (
-        lambda x: obs_stream_order(x, streams),
-        lambda x: obs_edge_type(x, streams),
-        lambda x: obs_mot(x, mot),
-        lambda x: obs_pscis(x, pscis_events, pscis_points),
-        lambda x: obs_dra_structure(x, dra),
-        lambda x: obs_rail_bridge(x, rail_structures),
-    )
-    return dict(zip(TAGS, rules))
+    # The tags.
+    return {
+        "FWA_STREAM_ORDER": lambda x: obs_stream_order(x, streams),
+        "FWA_EDGE_TYPE": lambda x: obs_edge_type(x, streams),
+        "MOT_ROAD_STRUCTURE_SP": lambda x: obs_mot(x, mot),
+        "PSCIS": lambda x: obs_pscis(x, pscis_events, pscis_points),
+        "TRANSPORT_LINE_STRUCTURE_CODE": lambda x: obs_dra_structure(x, dra),
+        "GBA_RAILWAY_STRUCTURE_LINES_SP": lambda x: obs_rail_bridge(x, rail_structures),
+    }
 
 
 def classify(crossings: DataFrame, rules: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:

@@ -19,21 +19,24 @@ from linecross.staging import stage, stage_observed
 #: Two boxes with more possible point pairs than this are divided before points are compared.
 PAIRS_PER_BOX = 100_000
 MAX_LEVEL = 40
+#: Line pieces are listed in cells of at least this side, in metres.
+LEAST_LINE_CELL = 1.0
 
 _BOX = ("x_lo", "y_lo", "x_hi", "y_hi")
 
 
-def _side(tolerance: str) -> str:
-    return f"({tolerance} * {planar.number(math.sqrt(0.5) * (1 - 1e-9))})"
+def _side(tolerance: str, least: float = 3e-7) -> str:
+    """Side of a square whose diagonal is the distance; distances below half a micrometre count as 0."""
+    return f"greatest({tolerance} * {planar.number(math.sqrt(0.5) * (1 - 1e-9))}, {planar.number(least)})"
 
 
 def _anchored(pieces: DataFrame, tolerance: str) -> DataFrame:
     """Pieces with the cell of their first end, which places a line in the cluster of that cell.
 
-    ``node`` packs the two cell coordinates in one long.
+    ``node`` is one number for both cell coordinates, wide enough for any two longs of up to 18 digits; more digits raise an error.
     """
     cells = [f"{planar.cell_of(axis + '1', _side(tolerance))} AS c{axis}" for axis in "xy"]
-    return pieces.selectExpr("*", *cells).selectExpr("*", "shiftleft(cx, 32) | (cy & 4294967295L) AS node")
+    return pieces.selectExpr("*", *cells).selectExpr("*", "CAST(CAST(cx AS DECIMAL(18, 0)) * 10000000000000000000BD + CAST(cy AS DECIMAL(18, 0)) AS DECIMAL(38, 0)) AS node")
 
 
 _IS_LINE = "(x1 <> x2 OR y1 <> y2)"
@@ -115,6 +118,8 @@ def _linked_by_boxes(pairs: DataFrame, points: DataFrame, keys: list[str], toler
         open_pairs = stage(rest.drop("an", "bn", "sure"), "boxes")
         if open_pairs.isEmpty():
             break
+    else:  # boxes no longer part what is left
+        found.append(stage(_linked_by_points(open_pairs, placed, keys, tolerance, ("bx", "by")), "point-links"))
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
@@ -124,12 +129,15 @@ def _linked_by_boxes(pairs: DataFrame, points: DataFrame, keys: list[str], toler
 def _linked_to_lines(pieces: DataFrame, keys: list[str], tolerance: str) -> DataFrame:
     """Cell pairs linked through a line piece: to points near it and to other lines near it."""
     lines = pieces.where(_IS_LINE).select(*keys, "node", "x1", "y1", "x2", "y2").distinct()
-    run = planar.traversed_cells(["x1", "y1", "x2", "y2"], _side(tolerance))
+    # A grid of its own: a small distance must not cut a line into endless cells.
+    side = _side(tolerance, LEAST_LINE_CELL)
+    run = planar.traversed_cells(["x1", "y1", "x2", "y2"], side)
     around = f"array_distinct(flatten(transform({run}, c -> {planar.cells_around('c.cx', 'c.cy', 2)})))"
     geometry, at = ["node", "x1", "y1", "x2", "y2"], [*keys, "cx", "cy"]
     a = _prefixed(lines.selectExpr("*", f"inline({around})"), geometry, "a", at)
     b_lines = _prefixed(lines.selectExpr("*", f"inline({run})"), geometry, "b", at)
-    b_points = _prefixed(pieces.select(*at, "node", "x1", "y1").distinct(), ["node", "x1", "y1"], "b", at)
+    points = pieces.select(*keys, "node", "x1", "y1").distinct().selectExpr("*", *[f"{planar.cell_of(v + '1', side)} AS c{v}" for v in "xy"])
+    b_points = _prefixed(points, ["node", "x1", "y1"], "b", at)
     near_point = planar.segment_point_distance("bx1", "by1", "ax1", "ay1", "ax2", "ay2")
     to_points = a.hint("merge").join(b_points, at).where(f"anode <> bnode AND {near_point} <= {tolerance}")
     to_lines = a.hint("merge").join(b_lines, at).where(f"anode < bnode AND {planar.segment_distance('a', 'b')} <= {tolerance}")

@@ -197,7 +197,7 @@ def buffer_semi_join(points: DataFrame, segments: DataFrame, radius: float, poin
         size = planar.number(float(radius))
         around = planar.cells_around(planar.cell_of("px", size), planar.cell_of("py", size), 2)
         listed = shapes.selectExpr("*", f"inline({_piece_cells(size)})")
-        pairs = ring.selectExpr(point_id, "px", "py", f"inline({around})").join(listed, ["cx", "cy"])
+        pairs = ring.selectExpr(point_id, "px", "py", f"inline({around})").hint("merge").join(listed, ["cx", "cy"])
         close = f"{planar.segment_point_distance('px', 'py', *_ENDS)} <= {planar.number(float(radius))}"
         hits = hits.unionByName(pairs.where(f"{close} AND {_clip_hits_polygon(radius, quad_segs)}").select(point_id))
     return points.join(hits.distinct(), point_id, "left_semi")

@@ -72,14 +72,22 @@ def _crossing_columns(df: DataFrame) -> DataFrame:
                      F.col("measure").alias("downstream_route_measure"), "wscode_ltree", "localcode_ltree", _REGION, "geom")
 
 
-def _simple_crossings(centroids: DataFrame, streams: DataFrame) -> DataFrame:
+_LOST = ("source", _REGION, _STREAM, "x", "y", "reason")
+
+
+def _unplaced(measured: DataFrame) -> DataFrame:
+    """Rows of ``_on_streams`` whose measure leads to no place, and why."""
+    reason = "CASE WHEN measure IS NULL THEN 'the stream takes no measure' ELSE 'the measure is not on the stream' END AS reason"
+    return measured.where(f"coalesce(size({planar.points_at_measure('_line', 'measure')}), 0) < 1").selectExpr("* EXCEPT (measure)", reason).select(*_LOST)
+
+
+def _simple_crossings(measured: DataFrame) -> DataFrame:
     """One crossing per cluster: moved along its stream, then placed by the measure."""
-    measured = _on_streams(centroids, streams)
     return _crossing_columns(measured.selectExpr("*", f"explode({planar.points_at_measure('_line', 'measure')}) AS geom"))
 
 
-def _dra_crossings(centroids: DataFrame, pieces: DataFrame, streams: DataFrame, roads: DataFrame) -> DataFrame:
-    """Clusters joined across streams, then given a stream and a road again through their nearest pieces."""
+def _dra_crossings(centroids: DataFrame, pieces: DataFrame, streams: DataFrame, roads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Clusters joined across streams, then given a stream and a road again through their nearest pieces; and those that get none."""
     as_points = centroids.select(_REGION, *[F.col(axis).alias(f"{axis}{n}") for n in (1, 2) for axis in "xy"])
     merged = cluster_centroids(as_points, [_REGION], ACROSS_STREAMS_TOLERANCE)
     spots = stage(merged.select(_REGION, "x", "y").distinct(), "dra-spots")
@@ -104,31 +112,46 @@ def _dra_crossings(centroids: DataFrame, pieces: DataFrame, streams: DataFrame,
     road_lines = roads.select(F.col("line_number"), F.col("geom").alias("_line"))
     near = nearest.select("spot", "hit", "line_number", "x", "y").join(road_lines, "line_number").where(
         f"{planar.distance_to_line('_line', 'x', 'y')} < {ROAD_DISTANCE}D")
-    chosen = near.select("spot", "hit", "line_number")
+    chosen = near.select("spot", "hit", "line_number").distinct()  # a road may have several rows
     rows = located.join(chosen, ["spot", "hit"]).withColumns({"source": F.lit("dra"), "line_text": F.lit(None).cast("string")})
-    return _crossing_columns(rows)
+    off_stream = spots.join(located.select("spot.*").withColumnRenamed("_region", _REGION), [_REGION, "x", "y"], "left_anti").withColumns(
+        {_STREAM: F.lit(None).cast(streams.schema[_STREAM].dataType), "reason": F.lit("no stream close by takes a measure")})
+    off_road = located.join(chosen, ["spot", "hit"], "left_anti").withColumn("reason", F.lit("no road close by"))
+    lost = [part.withColumn("source", F.lit("dra")).select(*_LOST) for part in (off_stream, off_road)]
+    return _crossing_columns(rows), lost[0].unionByName(lost[1])
 
 
 def find_crossings(streams: DataFrame, layers: Mapping[str, DataFrame], part_pairing: str = "lockstep",
-                   id_scope: str = "group", cell: float = 100.0, tolerances: Mapping[str, float] | None = None) -> DataFrame:
-    """Crossings of all given layers (keys of ``SOURCE_ID_COLUMNS``), before ids, merging and classification."""
+                   id_scope: str = "group", cell: float = 100.0, tolerances: Mapping[str, float] | None = None,
+                   rejects: str | None = None) -> DataFrame:
+    """Crossings of all given layers (keys of ``SOURCE_ID_COLUMNS``), before ids, merging and classification.
+
+    ``rejects``: a path for the clusters that give no crossing, with the reason (a stream whose parts do not meet, a measure beyond
+    it, no stream or no road close by), as Parquet.
+    """
     streams = filters.filter_streams(streams)
     lines = transport_lines(layers, tolerances)
     pieces = overlay(streams, lines, part_pairing, cell)
     centroids = stage(cluster_centroids(
         pieces, ["source", _REGION, _STREAM], "tolerance", ["line_number", "line_text"], id_scope), "centroids")
-    found = []
+    found, lost = [], []
     if set(layers) - {"dra"}:
-        found.append(_simple_crossings(centroids.where(F.col("source") != "dra"), streams))
+        measured = _on_streams(centroids.where(F.col("source") != "dra"), streams)
+        found.append(_simple_crossings(measured))
+        lost.append(_unplaced(measured))
     if "dra" in layers:
         is_dra = F.col("source") == "dra"
-        found.append(_dra_crossings(centroids.where(is_dra), pieces.where(is_dra), streams, lines.where(is_dra)))
+        crossings, missing = _dra_crossings(centroids.where(is_dra), pieces.where(is_dra), streams, lines.where(is_dra))
+        found.append(crossings)
+        lost.append(missing)
+    if rejects:
+        filters.union_sources(*lost).write.mode("overwrite").parquet(rejects)
     return filters.union_sources(*found)
 
 
 def crossings_simple(streams: DataFrame, lines: DataFrame, source: str, tolerance: float | None = None, **options) -> DataFrame:
     """Crossings of one layer without road classes: ``ften``, ``ogc``, ``ogcpre06`` or ``rail``."""
-    return find_crossings(streams, {source: lines}, tolerances={source: tolerance} if tolerance else None, **options)
+    return find_crossings(streams, {source: lines}, tolerances=None if tolerance is None else {source: tolerance}, **options)
 
 
 def crossings_dra(streams: DataFrame, roads: DataFrame, **options) -> DataFrame:

@@ -57,8 +57,8 @@ def model_crossings(inputs: Mapping[str, DataFrame], archive: DataFrame | None =
 
 
 def run(spark: SparkSession, inputs: Mapping[str, DataFrame], out: str, archive: DataFrame | None = None, **options) -> DataFrame:
-    """Write the crossings table and the four reports below ``out``; return the table read back."""
-    write_crossings(model_crossings(inputs, archive, **options), f"{out}/crossings")
+    """Write the crossings table, the four reports and the rejected clusters below ``out``; return the table read back."""
+    write_crossings(model_crossings(inputs, archive, rejects=f"{out}/rejected", **options), f"{out}/crossings")
     # the partition column comes last when read, so the order is restored
     crossings = spark.read.schema(CROSSINGS).parquet(f"{out}/crossings").select(*CROSSINGS.fieldNames())
     for name, report in REPORTS.items():

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 def write_crossings(df: DataFrame, path: str, mode: str = "overwrite", single_regions: bool = False) -> None:
     """Write Parquet partitioned by watershed group.
 
-    ``single_regions`` replaces only the groups present in ``df`` and keeps the others.
+    ``single_regions`` replaces only the groups present in ``df`` and keeps the others. Rows are dealt out by group first, so a
+    small group is one file; adaptive execution gives a large one several tasks.
     """
-    writer = df.write.mode(mode).partitionBy("watershed_group_code")
+    writer = df.hint("rebalance", "watershed_group_code").write.mode(mode).partitionBy("watershed_group_code")
     if single_regions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
