@@ -37,7 +37,9 @@ FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in code
 UNDETERMINED = "und"
 #: Entries of the feature table; pairs and triples share it.
 BUCKETS = 1 << 14
-_STEP_BYTES = 4_000_000
+_STEP_BYTES = 1_000_000
+#: Windows whose weights are gathered at once, so that a text of any length needs little memory.
+_STEP_WINDOWS = 1 << 18
 _LETTER = regex.compile(r"\p{L}")
 _DROPPED = bytes(b for b in range(128) if not (97 <= b <= 122 or b in b" \t\n\r"))
 _ONE_SPACE = bytes(32 if b in b"\t\n\r" else b for b in range(256))
@@ -121,12 +123,17 @@ class LanguageModel:
         """Margin of every machine for prepared texts."""
         sizes = np.array([len(t) for t in texts])
         data = np.frombuffer(b"".join(texts) + b"  ", np.uint8)
-        pair, triple = _features(data)
-        each = self.weights[pair]
-        each += self.weights[triple]
         starts = np.cumsum(sizes) - sizes
-        each[np.concatenate([starts + sizes - 1, starts + sizes - 2])] = 0  # windows that reach into the next text
-        return np.add.reduceat(each, starts, axis=0, dtype=np.float64) / np.maximum(1, 2 * (sizes - 2))[:, None] + self.biases
+        astray = np.sort(np.concatenate([starts + sizes - 1, starts + sizes - 2]))  # windows that reach into the next text
+        sums = np.zeros((len(texts), self.weights.shape[1]))
+        for at in range(0, len(data) - 2, _STEP_WINDOWS):
+            pair, triple = _features(data[at:at + _STEP_WINDOWS + 2])
+            each = self.weights[pair]
+            each += self.weights[triple]
+            each[astray[np.searchsorted(astray, at):np.searchsorted(astray, at + len(each))] - at] = 0
+            first, end = np.searchsorted(starts, at, "right") - 1, np.searchsorted(starts, at + len(each))
+            sums[first:end] += np.add.reduceat(each, np.maximum(starts[first:end] - at, 0), axis=0, dtype=np.float64)
+        return sums / np.maximum(1, 2 * (sizes - 2))[:, None] + self.biases
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score (0 to 1) of each text."""
