@@ -114,7 +114,7 @@ def hashed_words(texts: list[str | None], lower: bool = True) -> tuple[np.ndarra
     return mix64(hashes), counts
 
 
-def text_slices(texts: list[str | None], size: int = 4_000_000):
+def text_slices(texts: list[str | None], size: int = 1_000_000):
     """Ranges of rows of about ``size`` characters each; a longer text has a range of its own."""
     first, total = 0, 0
     for n, text in enumerate(texts):
