@@ -8,12 +8,13 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from linecross.staging import delete_path, discard, new_path, stage
 
-__all__ = ["crc_mod", "delete_path", "discard", "fold_ascii", "local_path", "map_batches", "new_path", "ranges", "read_table",
+__all__ = ["byte_slices", "crc_mod", "delete_path", "discard", "fold_ascii", "local_path", "map_batches", "new_path", "ranges", "read_table",
            "shared_folder", "stage", "words", "write_file"]
 
 
@@ -45,6 +46,19 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.Table | p
     return df.mapInArrow(run, schema)
 
 
+def byte_slices(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes of a text column each, and one row at least; nothing is copied."""
+    if not batch.num_rows:
+        return
+    totals = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        before = totals[first - 1] if first else 0
+        end = max(first + 1, int(np.searchsorted(totals, before + size, "right")))
+        yield batch.slice(first, end - first)
+        first = end
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new URI below the staging folder, for files that tasks write and read themselves."""
     uri = new_path(spark, label)
