@@ -9,7 +9,7 @@ the middle of a list search few and queries on boundaries many; no number caps t
 
 Copies are one entry with the ``k + 1`` least ids, which no query can tell from all of them; a first round per bucket of ids keeps a
 vector with very many copies from one task. Lists and the queries of a list are dealt out in tiles of a fixed size, so a full list is
-many tasks' work. The driver holds the sample (``SAMPLE`` rows and ``SAMPLE_BYTES`` at most) and the centroids and graph, which are
+many tasks' work, and a task joins what it finds for a query in all its tiles before anything is shuffled. The driver holds the sample (``SAMPLE`` rows and ``SAMPLE_BYTES`` at most) and the centroids and graph, which are
 broadcast and no more than an eighth of the sample in rows.
 
 Cases: vectors that are null, empty, zero, or hold null, NaN or infinite components take no part, nor do those that have not the
@@ -44,6 +44,8 @@ LINKS = 16
 BEAM = 8
 #: Vectors and queries of a tile.
 TILE_VECTORS, TILE_QUERIES = 4096, 1024
+#: A task hands on what it has found when it has met more queries than this.
+BEST_QUERIES = 1 << 15
 _ID_BUCKETS = 64
 
 
@@ -225,6 +227,56 @@ def nearest_in(vectors: np.ndarray, queries: np.ndarray, firsts: np.ndarray, n:
             yield first + k, near[best], score[best]
 
 
+def _runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches cut where one of the columns changes."""
+    for batch in batches:
+        if batch.num_rows:
+            values = [batch.column(c).to_numpy() for c in columns]
+            changes = np.flatnonzero(np.any([v[1:] != v[:-1] for v in values], axis=0)) + 1
+            for first, end in zip([0, *changes], [*changes, batch.num_rows]):
+                yield batch.slice(first, end - first)
+
+
+class Best:
+    """The nearest entries that one task has found for each query that it has met."""
+
+    def __init__(self, n: int):
+        self.n, self.cell = n, None
+        #: By query: score, first id, key and ids of its best entries, in order.
+        self.of: dict[tuple[int, int], list[tuple]] = {}
+
+    def ask(self, queries: pa.RecordBatch, cell: dict) -> None:
+        """Queries of a tile; those of the same tile that a batch before held stay."""
+        keys = list(zip(queries.column("k1").to_pylist(), queries.column("k2").to_pylist()))
+        if cell == self.cell:
+            self.keys, self.queries = self.keys + keys, np.concatenate([self.queries, _matrix(queries.column("vector"))])
+        else:
+            self.cell, self.keys, self.queries = cell, keys, _matrix(queries.column("vector"))
+        for key in keys:
+            self.of.setdefault(key, [])
+
+    def meet(self, entries: pa.RecordBatch) -> None:
+        """Entries of the tile whose queries came last."""
+        ids = entries.column("ids").to_pylist()
+        keys = list(zip(entries.column("k1").to_pylist(), entries.column("k2").to_pylist()))
+        firsts = np.array([np.inf if i[0] is None else i[0] for i in ids])
+        for q, near, score in nearest_in(_matrix(entries.column("vector")), self.queries, firsts, self.n):
+            known = self.of.setdefault(self.keys[q], [])
+            worst = known[-1][:2] if len(known) == self.n else (np.inf, np.inf)
+            fresh = [(s, firsts[v], keys[v], ids[v]) for v, s in zip(near.tolist(), score.tolist()) if (s, firsts[v]) <= worst]
+            if fresh:
+                merged = {entry[2]: entry for entry in known + fresh}.values()
+                self.of[self.keys[q]] = sorted(merged, key=lambda e: e[:3])[:self.n]
+
+    def rows(self) -> pa.RecordBatch:
+        """What was found, which is then forgotten."""
+        rows = [(*query, *key, ids, score) for query, entries in self.of.items() for score, _, key, ids in entries]
+        self.of = {}
+        kinds = [*[pa.int64()] * 4, pa.list_(pa.int64()), pa.float64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows) if rows else [()] * 6, kinds)],
+                                          ["q1", "q2", "k1", "k2", "ids", "score"])
+
+
 def nearest_neighbours(table: DataFrame, k: int = 10, asks: str = "vec_id % 100 = 0") -> DataFrame:
     """The ``k`` nearest found of every row that ``asks``: ``query_id, rank, vec_id, score``."""
     spark = table.sparkSession
@@ -248,25 +300,23 @@ def nearest_neighbours(table: DataFrame, k: int = 10, asks: str = "vec_id % 100
         searches.groupBy("list").agg(F.expr(f"ceil(count(*) / {TILE_QUERIES})").alias("q_tiles")), "list")
     tiles = F.broadcast(tiles)
     cell = ["list", "v_tile", "q_tile"]
-    left = searches.join(tiles, "list").selectExpr(
-        "list", "explode(sequence(0, v_tiles - 1)) AS v_tile", "pmod(k2, q_tiles) AS q_tile", "k1 AS q1", "k2 AS q2", "vector")
-    right = index.join(tiles, "list").selectExpr(
-        "list", "pmod(k2, v_tiles) AS v_tile", "explode(sequence(0, q_tiles - 1)) AS q_tile", "k1", "k2", "ids", "vector")
-
-    def compare(queries: pa.Table, vectors: pa.Table) -> pa.Table:
-        picked, asked, scores = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
-        if queries.num_rows and vectors.num_rows:
-            firsts = np.array([np.inf if i[0] is None else i[0] for i in vectors.column("ids").to_pylist()])
-            for q, near, score in nearest_in(_matrix(vectors.column("vector")), _matrix(queries.column("vector")), firsts, k + 1):
-                picked.append(near)
-                asked.append(np.full(len(near), q))
-                scores.append(score)
-        q, v = pa.array(np.concatenate(asked)), pa.array(np.concatenate(picked))
-        return pa.table([queries.column("q1").take(q), queries.column("q2").take(q), vectors.column("k1").take(v),
-                         vectors.column("k2").take(v), vectors.column("ids").take(v), pa.array(np.concatenate(scores))],
-                        names=["q1", "q2", "k1", "k2", "ids", "score"])
-
-    found = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(
+    left = searches.join(tiles, "list").selectExpr("list", "explode(sequence(0, v_tiles - 1)) AS v_tile", "pmod(k2, q_tiles) AS q_tile",
+                                                   "0 AS kind", "k1", "k2", "CAST(NULL AS array<bigint>) AS ids", "vector")
+    right = index.join(tiles, "list").selectExpr("list", "pmod(k2, v_tiles) AS v_tile", "explode(sequence(0, q_tiles - 1)) AS q_tile",
+                                                 "1 AS kind", "k1", "k2", "ids", "vector")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = Best(k + 1)
+        for part in _runs(batches, [*cell, "kind"]):
+            if part.column("kind")[0].as_py():
+                best.meet(part)
+            else:
+                best.ask(part, part.slice(0, 1).select(cell).to_pylist()[0])
+            if len(best.of) > BEST_QUERIES:
+                yield best.rows()
+        yield best.rows()
+
+    found = left.unionByName(right).repartition(*cell).sortWithinPartitions(*cell, "kind").mapInArrow(
         compare, "q1 bigint, q2 bigint, k1 bigint, k2 bigint, ids array<bigint>, score double")
     # A vector of several lists is found several times with one score, so dense ranks count it once.
     nearest = Window.partitionBy("q1", "q2").orderBy("score", F.expr("ids[0]").asc_nulls_last(), "k1", "k2")
