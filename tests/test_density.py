@@ -4,7 +4,7 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from linecross.operators.cluster import cluster_centroids, cluster_within
 from linecross.operators.components import connected_components
@@ -85,13 +85,13 @@ def test_hub(spark):
     assert connected_components(edges).agg(F.count("*"), F.max("root"), F.min("root")).first() == (4999, 1, 1)
 
 
-@pytest.mark.parametrize("per_cell, k", [(1, 1), (1, 5), (1000, 5)])
-def test_nearest(spark, per_cell, k):
+@pytest.mark.parametrize("per_point, k", [(1, 1), (1, 5), (1000, 5)])
+def test_nearest(spark, per_point, k):
     rows = heap(11, 120, 300.0, 10)
     rng = random.Random(2)
     points = [(i, "ab"[i % 2], round(rng.gauss(0, 400), 3), round(rng.gauss(0, 400), 3)) for i in range(60)] + [(98, "a", 1.0, 2.0), (99, "c", 0.0, 0.0)]
     frame = spark.createDataFrame([(i, g, float(x), float(y)) for i, g, x, y in points], "pid long, g string, x double, y double")
-    got = nearest_k(frame, pieces(spark, rows), k, ["id"], ["g"], cell=4.0, pieces_per_cell=per_cell)
+    got = nearest_k(frame, pieces(spark, rows), k, ["id"], ["g"], cell=4.0, pieces_per_point=per_point)
     want = {}
     for pid, g, x, y in points:
         ranked = sorted((seg_distance(x, y, *r[2:]), r[0]) for r in rows if r[1] == g)[:k]
@@ -99,12 +99,12 @@ def test_nearest(spark, per_cell, k):
     assert {(r.pid, r["rank"]): (r.id, r.distance) for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("per_cell", [1, 1000])
-def test_nearest_within(spark, per_cell):
+@pytest.mark.parametrize("per_point", [1, 1000])
+def test_nearest_within(spark, per_point):
     rows = [r for r in heap(13, 150, 80.0, 8)]
     points = [(i, float(i * 7 % 200 - 100), float(i * 13 % 190 - 90)) for i in range(80)]
     frame = spark.createDataFrame(points, "pid long, x double, y double")
-    got = nearest_within(frame, pieces(spark, rows).drop("g"), 20.0, ["id"], pieces_per_cell=per_cell)
+    got = nearest_within(frame, pieces(spark, rows).drop("g"), 20.0, ["id"], pieces_per_point=per_point)
     want = {}
     for pid, x, y in points:
         d, n = min((seg_distance(x, y, *r[2:]), r[0]) for r in rows)
@@ -113,6 +113,28 @@ def test_nearest_within(spark, per_cell):
     assert {r.pid: (r.id, r.distance) for r in got.collect()} == want
 
 
+def test_points_beside_a_heap_meet_its_rim(spark):
+    # points around a dense heap, and pieces far away that keep the points' own cells wide
+    rng = random.Random(21)
+    points = [(i, 60 * math.cos(i) + rng.random(), 60 * math.sin(i) + rng.random()) for i in range(150)]
+    frame = spark.createDataFrame(points, "pid long, x double, y double")
+
+    def heaped(n):
+        rows = [(i, "a", round(rng.gauss(0, 6), 6), round(rng.gauss(0, 6), 6)) for i in range(n)]
+        return [*rows, *[(n + i, "a", 900.0, 900.0 + i) for i in range(6)], *[(n + 10 + i, "a", 2.0, 1.0, 2.0, 3.0) for i in range(8)]]
+    pairs = []
+    for n in (3_000, 6_000):
+        rows, compared = heaped(n), Observation()
+        got = nearest_k(frame, pieces(spark, rows).drop("g"), 5, ["id"], pieces_per_point=64, compared=compared).collect()
+        pairs.append(compared.get["pairs"])
+        want = {}
+        for pid, x, y in points:
+            ranked = sorted((seg_distance(x, y, *r[2:4], *r[-2:]), r[0]) for r in rows)[:5]
+            want.update({(pid, i): (m, d) for i, (d, m) in enumerate(ranked, 1)})
+        assert {(r.pid, r["rank"]): (r.id, r.distance) for r in got} == want
+    assert pairs[1] < 1.5 * pairs[0] and pairs[1] < 64 * len(points)
+
+
 def test_too_few_neighbours(spark):
     points = spark.createDataFrame([(1, "a", -500.0, 3.0)], "pid long, g string, x double, y double")
     found = nearest_k(points, pieces(spark, [(1, "a", 10, 10), (2, "a", 90_000, 5), (3, "b", 0, 0)]), 5, ["id"], ["g"])
