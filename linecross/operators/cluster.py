@@ -31,12 +31,15 @@ def _side(tolerance: str, least: float = 3e-7) -> str:
 
 
 def _anchored(pieces: DataFrame, tolerance: str) -> DataFrame:
-    """Pieces with the cell of their first end, which places a line in the cluster of that cell.
+    """Pieces with the cell of their first end, which places a line in the cluster of that cell."""
+    return pieces.selectExpr("*", *[f"{planar.cell_of(axis + '1', _side(tolerance))} AS c{axis}" for axis in "xy"])
 
-    ``node`` is one number for both cell coordinates, wide enough for any two longs of up to 18 digits; more digits raise an error.
-    """
-    cells = [f"{planar.cell_of(axis + '1', _side(tolerance))} AS c{axis}" for axis in "xy"]
-    return pieces.selectExpr("*", *cells).selectExpr("*", "CAST(CAST(cx AS DECIMAL(18, 0)) * 10000000000000000000BD + CAST(cy AS DECIMAL(18, 0)) AS DECIMAL(38, 0)) AS node")
+
+def _node(low: tuple[int, int], high: tuple[int, int]) -> str:
+    """One number for both cell coordinates: a long where 31 bits hold each, else a decimal for longs of up to 18 digits."""
+    if max(h - l for l, h in zip(low, high)) < 1 << 31:
+        return f"shiftleft(cx - {low[0]}L, 32) + (cy - {low[1]}L)"
+    return "CAST(CAST(cx AS DECIMAL(18, 0)) * 10000000000000000000BD + CAST(cy AS DECIMAL(18, 0)) AS DECIMAL(38, 0))"
 
 
 _IS_LINE = "(x1 <> x2 OR y1 <> y2)"
@@ -155,13 +158,15 @@ class _Clusters:
         if by_column and tolerance not in self.keys:
             self.keys.append(tolerance)
         self.tolerance = tolerance if by_column else planar.number(float(tolerance))
-        self.pieces = _anchored(pieces, self.tolerance)
-        nodes = self.pieces.groupBy(*self.keys, "cx", "cy", "node").agg(*_aggregates(
+        placed = _anchored(pieces, self.tolerance)
+        nodes = placed.groupBy(*self.keys, "cx", "cy").agg(*_aggregates(
             *_BOX_AGGREGATES, "count(*) AS n", f"count_if(NOT {_IS_LINE}) AS points",
             f"sum(CASE WHEN NOT {_IS_LINE} THEN x1 END) AS px", f"sum(CASE WHEN NOT {_IS_LINE} THEN y1 END) AS py",
             f"sum({_LENGTH}) AS length", f"sum({_LENGTH} * (x1 + x2) / 2) AS lx", f"sum({_LENGTH} * (y1 + y2) / 2) AS ly"),
             *aggregates)
-        self.nodes, seen = stage_observed(nodes, "cells", longest="max(length)")
+        nodes, seen = stage_observed(nodes, "cells", longest="max(length)", west="min(cx)", east="max(cx)", south="min(cy)", north="max(cy)")
+        node = _node((seen["west"] or 0, seen["south"] or 0), (seen["east"] or 0, seen["north"] or 0))
+        self.nodes, self.pieces = (df.selectExpr("*", f"{node} AS node") for df in (nodes, placed))
         self.has_lines = (seen["longest"] or 0) > 0
         self.roots = self._roots(pairs_per_box)
 

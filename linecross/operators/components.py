@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from linecross.staging import stage, stage_observed
+from linecross.staging import discard, stage_observed
 
 MAX_ROUNDS = 60
 
@@ -36,26 +36,24 @@ def _small_star(edges: DataFrame, keys: list[str]) -> DataFrame:
         low.select(*keys, "u", F.col("low").alias("v"))).distinct()
 
 
-def _settled(edges: DataFrame, keys: list[str]) -> bool:
-    """True if the edges are stars: no node has two centres, and no centre hangs on another node."""
-    ends = edges.selectExpr(*keys, "u AS node", "1 AS leaf", "0 AS hub").unionAll(
-        edges.selectExpr(*keys, "v AS node", "0 AS leaf", "1 AS hub"))
-    node = ends.groupBy(*keys, "node").agg(F.expr("sum(leaf) AS leaf"), F.expr("max(hub) AS hub"))
-    return node.where("leaf > 1 OR (leaf > 0 AND hub > 0)").isEmpty()
-
-
 def connected_components(edges: DataFrame, keys: list[str] = (), a: str = "a", b: str = "b") -> DataFrame:
     """``keys, node, root``: every node that is not its component's smallest, with that smallest node.
 
     Nodes are comparable values, distinct within ``keys``; edges never connect different keys. A node without a
-    row is a root itself. Each round is written once and read back; the driver only sees whether rounds go on.
+    row is a root itself. Each round is written once and read back; the driver only sees the number of edges and a sum of their hashes,
+    which the same write observes: a round that changes neither has found the stars.
     """
     keys = list(keys)
     oriented = edges.where(F.col(a) != F.col(b)).select(
         *keys, F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    stars, seen = stage_observed(oriented, "edges", n="count(*)")
+    marks = {"n": "count(*)", "mark": f"sum(CAST(xxhash64({', '.join([*keys, 'u', 'v'])}) AS DECIMAL(20, 0)))"}
+    stars, seen = stage_observed(oriented, "edges", **marks)
     for _ in range(MAX_ROUNDS):
-        if not seen["n"] or _settled(stars, keys):
+        before = seen
+        if seen["n"]:
+            done = stars
+            stars, seen = stage_observed(_small_star(_large_star(stars, keys), keys), "stars", **marks)
+            discard(done)
+        if seen == before:
             return stars.select(*keys, F.col("u").alias("node"), F.col("v").alias("root"))
-        stars = stage(_small_star(_large_star(stars, keys), keys), "stars")
     raise RuntimeError("connected components did not settle")
