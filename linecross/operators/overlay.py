@@ -14,8 +14,9 @@ from linecross.functions import planar
 from linecross.operators.lines import explode_parts
 from linecross.staging import stage
 
-#: A cell whose two sides could form more pairs than this is split.
+#: A cell whose two sides could form more pairs than this is split, and what is still beyond it is dealt out by salt.
 PAIRS_PER_CELL = 4_000_000
+#: Finer cells than this part of a cell no longer part segments; salts do the rest.
 MAX_SPLIT = 128
 #: Width of the cells counted first, in cells.
 COARSE = 16
@@ -75,6 +76,28 @@ def _split(celled: DataFrame, hot: DataFrame, prefix: str, size: float) -> DataF
     return marked.selectExpr("*", f"explode({sub}) AS _sub").selectExpr("* EXCEPT (_sub)", "_sub.cx AS sx", "_sub.cy AS sy")
 
 
+def _dealt(left: DataFrame, right: DataFrame, keys: list[str], budget: int) -> tuple[DataFrame, DataFrame] | None:
+    """Both sides with a ``salt`` that keeps every join key within the budget; None if all keys are within it.
+
+    Dividing a cell cannot part segments that lie on each other. Of such a key the larger side is dealt out over as many salts as
+    it has budgets of pairs, and the smaller side is copied to each.
+    """
+    def count(df: DataFrame, name: str) -> DataFrame:
+        return df.where("_f > 1").groupBy(*keys).agg(F.count("*").alias(name))
+    crowded = stage(count(left, "_l").join(count(right, "_r"), keys).where(f"CAST(_l AS DOUBLE) * _r > {budget}").selectExpr(
+        *keys, f"CAST(ceil(CAST(_l AS DOUBLE) * _r / {budget}) AS INT) AS _salts", "_l >= _r AS _deal_left"), "crowded-keys")
+    if crowded.isEmpty():
+        return None
+
+    def salted(df: DataFrame, prefix: str, dealt: str) -> DataFrame:
+        row = f"xxhash64({', '.join([f'{prefix}id', f'{prefix}part', *_ends(prefix)])})"
+        # null salts: not a crowded key
+        salt = (f"CASE WHEN _salts IS NULL THEN array(0) WHEN {dealt} THEN array(CAST(pmod({row}, _salts) AS INT)) "
+                "ELSE sequence(0, _salts - 1) END")
+        return df.join(crowded, keys, "left").selectExpr("* EXCEPT (_salts, _deal_left)", f"explode({salt}) AS salt")
+    return salted(left, "l", "_deal_left"), salted(right, "r", "NOT _deal_left")
+
+
 def _meeting() -> str:
     """Where segments ``l`` and ``r`` meet: ``struct<x1,y1,x2,y2>``, a point with equal ends, NULL if they do not."""
     eps = planar.number(planar.SNAP)
@@ -140,13 +163,18 @@ def intersect_lines(left: DataFrame, right: DataFrame, left_id: str, right_id: s
     keys, scale = ["cx", "cy"], planar.number(float(cell))
     hot = _hot_cells(l_segments, r_segments, cell, pairs_per_cell)
     if hot is not None:
-        l_cells, r_cells = _split(l_cells, hot, "l", cell), _split(r_cells, hot, "r", cell).drop("_f")
+        l_cells, r_cells = _split(l_cells, hot, "l", cell), _split(r_cells, hot, "r", cell)
         keys += ["sx", "sy"]
         scale = f"({scale} / _f)"
 
     if part_pairing == "lockstep":
         l_cells, r_cells = l_cells.withColumn("_p", F.col("lpart")), r_cells.withColumn("_p", F.col("rpart"))
         keys += ["_p"]
+    if hot is not None:
+        if dealt := _dealt(l_cells, r_cells, keys, pairs_per_cell):
+            l_cells, r_cells = dealt
+            keys += ["salt"]
+        r_cells = r_cells.drop("_f")
     slack = planar.number(planar.CELL_SLACK)
     boxes_touch = " AND ".join(
         f"least({p}{axis}1, {p}{axis}2) <= greatest({q}{axis}1, {q}{axis}2) + {slack}" for axis in "xy" for p, q in ("lr", "rl"))

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import Observation, functions as F
 
+from linecross.operators import overlay
 from linecross.operators.cluster import cluster_centroids, cluster_within
 from linecross.operators.components import connected_components
 from linecross.operators.joins import band_semi_join
@@ -164,6 +165,24 @@ def test_intersections_in_split_cells(spark, pairing):
     assert sorted((r.id, r.linear_feature_id, r.right_part, round(r.x1, 6), round(r.y1, 6)) for r in swapped) == whole
 
 
+@pytest.mark.parametrize("pairing", ["lockstep", "all_pairs"])
+def test_coincident_segments(spark, pairing, monkeypatch):
+    # 1,500 equal roads over 3 equal streams, and as many crossing ones: no cell size parts them
+    roads = ften(spark, *[(f"E{i}", line([(0, 0), (60, 0)])) for i in range(1500)], *[(f"X{i}", line([(30, -5), (30, 5)])) for i in range(1500)])
+    streams = stream(spark, [{"linear_feature_id": i, "geom": line([(0, 0, 0), (60, 0, 60)])} for i in range(3)])
+    sides = []
+    dealt = overlay._dealt
+    monkeypatch.setattr(overlay, "_dealt", lambda left, right, keys, budget: sides.append((dealt(left, right, keys, budget), keys)) or sides[-1][0])
+    found = intersect_lines(roads, streams, "id", "linear_feature_id", part_pairing=pairing, pairs_per_cell=500)
+    got = sorted((r.id, r.linear_feature_id, r.x1, r.y1, r.x2, r.y2) for r in found.collect())
+    assert got == sorted([(f"E{i}", n, 0.0, 0.0, 60.0, 0.0) for i in range(1500) for n in range(3)]
+                         + [(f"X{i}", n, 30.0, 0.0, 30.0, 0.0) for i in range(1500) for n in range(3)])
+    ((left, right), keys), = sides
+    keys = list(dict.fromkeys([*keys, "salt"]))
+    pairs = left.groupBy(*keys).agg(F.count("*").alias("l")).join(right.groupBy(*keys).agg(F.count("*").alias("r")), keys)
+    assert pairs.agg(F.max(F.col("l") * F.col("r"))).first()[0] <= 1.5 * 500
+
+
 def test_band_semi_join(spark):
     rng = random.Random(9)
     left = [(i, rng.choice("ab"), round(rng.uniform(-100, 100), 1)) for i in range(300)]
