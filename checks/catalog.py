@@ -145,14 +145,15 @@ def _(spark, sf):
         "id", "CAST(part_no AS bigint) AS part_no", "round(part[0].x, 6) AS x1", "round(part[0].y, 6) AS y1")
 
 
-_SEG = ("x1", "y1", "m1", "x2", "y2", "m2")
+_SEG = ("x1", "y1", "z1", "m1", "x2", "y2", "z2", "m2")
 
 
 @register("explode_segments", f"""
-    SELECT linear_feature_id, CAST(seg_no AS BIGINT) AS seg_no, {', '.join(_r(*_SEG))}, CAST(100 AS DOUBLE) AS seg_len FROM fx_stream_segs""")
+    SELECT linear_feature_id, CAST(seg_no AS BIGINT) AS seg_no, {', '.join(_r(*_SEG))}, CAST(100 AS DOUBLE) AS seg_len,
+      CAST(100 * seg_no AS DOUBLE) AS cum_len FROM (SELECT *, m1 / 10 AS z1, m2 / 10 AS z2 FROM fx_stream_segs)""")
 def _(spark, sf):
     return explode_segments(layer(spark, sf, "streams")).selectExpr(
-        "linear_feature_id", "CAST(seg_no AS bigint) AS seg_no", *_r(*_SEG), "round(seg_len, 6) AS seg_len")
+        "linear_feature_id", "CAST(seg_no AS bigint) AS seg_no", *_r(*_SEG, "seg_len", "cum_len"))
 
 
 def _lines(spark: SparkSession, sf: str, *names: str) -> DataFrame:

@@ -85,6 +85,21 @@ def part_segments(part: str) -> str:
     return f"(CASE WHEN size({part}) > 1 THEN {pairs} END)"
 
 
+def segment_lengths(segments: str) -> str:
+    """2D lengths of an array from ``part_segments``."""
+    return f"transform({segments}, s -> sqrt((s.b.x - s.a.x) * (s.b.x - s.a.x) + (s.b.y - s.a.y) * (s.b.y - s.a.y)))"
+
+
+def running_sums(values: str) -> str:
+    """Sums of an array of doubles up to each element.
+
+    Each pass adds the value twice as far back as the pass before, so a long array takes a few passes, and none appends to an array.
+    """
+    passes = f"sequence(0, CAST(ceil(log2(greatest(size({values}), 2))) AS INT) - 1)"
+    added = "transform(acc, (v, i) -> v + CASE WHEN i >= shiftleft(1, k) THEN get(acc, i - shiftleft(1, k)) ELSE 0D END)"
+    return f"aggregate({passes}, {values}, (acc, k) -> {added})"
+
+
 def force_2d(geom: str) -> str:
     """Line with z and m removed."""
     flat = "named_struct('x', v.x, 'y', v.y, 'z', CAST(NULL AS DOUBLE), 'm', CAST(NULL AS DOUBLE))"

@@ -14,13 +14,19 @@ def explode_parts(df: DataFrame, geom: str = "geom") -> DataFrame:
 
 
 def explode_segments(df: DataFrame, geom: str = "geom") -> DataFrame:
-    """One row per segment of every part, with end points, 2D length and measures. Zero-length ones are dropped."""
+    """One row per segment of every part: end points with z and m, 2D length, and ``cum_len``, the length of the part before it.
+
+    Zero-length segments are dropped. The running length is made inside the array of a part, so nothing is shuffled.
+    """
     parts = explode_parts(df, geom)
     rest = [c for c in parts.columns if c != "part"]
-    rows = parts.select(*rest, F.posexplode(F.expr(planar.part_segments("part"))).alias("seg_no", "_s"))
-    ends = [f"_s.{v}.{axis} AS {axis}{n}" for n, v in ((1, "a"), (2, "b")) for axis in ("x", "y", "m")]
-    length = "sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) AS seg_len"
-    return rows.selectExpr(*rest, "seg_no", *ends).where("x1 <> x2 OR y1 <> y2").selectExpr("*", length)
+    segments = parts.select(*rest, F.expr(planar.part_segments("part")).alias("_s")).selectExpr(
+        *rest, "_s", f"{planar.running_sums(planar.segment_lengths('_s'))} AS _run")
+    rows = segments.selectExpr(*rest, "posexplode(arrays_zip(_s, _run)) AS (seg_no, _q)")
+    ends = [f"_q._s.{v}.{axis} AS {axis}{n}" for n, v in ((1, "a"), (2, "b")) for axis in "xyzm"]
+    length = "sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))"
+    return rows.selectExpr(*rest, "seg_no", *ends, "_q._run AS _end").where("x1 <> x2 OR y1 <> y2").selectExpr(
+        "* EXCEPT (_end)", f"{length} AS seg_len", f"_end - {length} AS cum_len")
 
 
 def _merge(geom: str) -> str:

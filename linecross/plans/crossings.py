@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from linecross.functions import planar
 from linecross.operators import filters
@@ -73,11 +73,14 @@ def _crossing_columns(df: DataFrame) -> DataFrame:
 
 
 _LOST = ("source", _REGION, _STREAM, "x", "y", "reason")
+#: Why a cluster gives no crossing.
+REASONS = {"unmeasured": "the stream takes no measure", "off_measure": "the measure is not on the stream",
+           "off_stream": "no stream close by takes a measure", "off_road": "no road close by"}
 
 
 def _unplaced(measured: DataFrame) -> DataFrame:
     """Rows of ``_on_streams`` whose measure leads to no place, and why."""
-    reason = "CASE WHEN measure IS NULL THEN 'the stream takes no measure' ELSE 'the measure is not on the stream' END AS reason"
+    reason = f"CASE WHEN measure IS NULL THEN '{REASONS['unmeasured']}' ELSE '{REASONS['off_measure']}' END AS reason"
     return measured.where(f"coalesce(size({planar.points_at_measure('_line', 'measure')}), 0) < 1").selectExpr("* EXCEPT (measure)", reason).select(*_LOST)
 
 
@@ -115,19 +118,19 @@ def _dra_crossings(centroids: DataFrame, pieces: DataFrame, streams: DataFrame,
     chosen = near.select("spot", "hit", "line_number").distinct()  # a road may have several rows
     rows = located.join(chosen, ["spot", "hit"]).withColumns({"source": F.lit("dra"), "line_text": F.lit(None).cast("string")})
     off_stream = spots.join(located.select("spot.*").withColumnRenamed("_region", _REGION), [_REGION, "x", "y"], "left_anti").withColumns(
-        {_STREAM: F.lit(None).cast(streams.schema[_STREAM].dataType), "reason": F.lit("no stream close by takes a measure")})
-    off_road = located.join(chosen, ["spot", "hit"], "left_anti").withColumn("reason", F.lit("no road close by"))
+        {_STREAM: F.lit(None).cast(streams.schema[_STREAM].dataType), "reason": F.lit(REASONS["off_stream"])})
+    off_road = located.join(chosen, ["spot", "hit"], "left_anti").withColumn("reason", F.lit(REASONS["off_road"]))
     lost = [part.withColumn("source", F.lit("dra")).select(*_LOST) for part in (off_stream, off_road)]
     return _crossing_columns(rows), lost[0].unionByName(lost[1])
 
 
 def find_crossings(streams: DataFrame, layers: Mapping[str, DataFrame], part_pairing: str = "lockstep",
                    id_scope: str = "group", cell: float = 100.0, tolerances: Mapping[str, float] | None = None,
-                   rejects: str | None = None) -> DataFrame:
+                   rejects: str | None = None, rejected: Observation | None = None) -> DataFrame:
     """Crossings of all given layers (keys of ``SOURCE_ID_COLUMNS``), before ids, merging and classification.
 
     ``rejects``: a path for the clusters that give no crossing, with the reason (a stream whose parts do not meet, a measure beyond
-    it, no stream or no road close by), as Parquet.
+    it, no stream or no road close by), as Parquet; ``rejected`` observes their number by reason (names of ``REASONS``).
     """
     streams = filters.filter_streams(streams)
     lines = transport_lines(layers, tolerances)
@@ -136,7 +139,9 @@ def find_crossings(streams: DataFrame, layers: Mapping[str, DataFrame], part_pai
         pieces, ["source", _REGION, _STREAM], "tolerance", ["line_number", "line_text"], id_scope), "centroids")
     found, lost = [], []
     if set(layers) - {"dra"}:
-        measured = _on_streams(centroids.where(F.col("source") != "dra"), streams)
+        # both the crossings and the rejects are made of it
+        measured = stage(_on_streams(centroids.where(F.col("source") != "dra"), streams), "measured") if rejects else _on_streams(
+            centroids.where(F.col("source") != "dra"), streams)
         found.append(_simple_crossings(measured))
         lost.append(_unplaced(measured))
     if "dra" in layers:
@@ -145,7 +150,10 @@ def find_crossings(streams: DataFrame, layers: Mapping[str, DataFrame], part_pai
         found.append(crossings)
         lost.append(missing)
     if rejects:
-        filters.union_sources(*lost).write.mode("overwrite").parquet(rejects)
+        rows = filters.union_sources(*lost)
+        if rejected is not None:
+            rows = rows.observe(rejected, *[F.count_if(F.col("reason") == reason).alias(name) for name, reason in REASONS.items()])
+        rows.write.mode("overwrite").parquet(rejects)
     return filters.union_sources(*found)
 
 

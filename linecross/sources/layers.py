@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from linecross.functions import planar
@@ -56,65 +56,96 @@ def _read_geojson(spark: SparkSession, path: str, schema: T.StructType, id_col:
     return features.select(*columns)
 
 
-def _wkb_vertices(buffer: bytes, offset: int, order: str, n_ordinates: int, n: int) -> tuple[list[list[float]], int]:
-    values = struct.unpack_from(f"{order}{n * n_ordinates}d", buffer, offset)
-    return [list(values[i:i + n_ordinates]) for i in range(0, len(values), n_ordinates)], offset + 8 * n * n_ordinates
-
-
-def _wkb_parts(buffer: bytes | None) -> list[list[dict[str, float | None]]] | None:
-    """Parts of a point, line or multi-line in ISO or extended WKB."""
-    if buffer is None:
-        return None
-
-    def geometry(offset: int) -> tuple[list[list[dict[str, float | None]]], int]:
-        order = "<" if buffer[offset] else ">"
-        (code,) = struct.unpack_from(f"{order}I", buffer, offset + 1)
-        offset += 5
-        kind, dims = code & 0xFFFF, (code & 0xFFFF) // 1000
-        has_z, has_m = bool(code & 0x80000000) or dims in (1, 3), bool(code & 0x40000000) or dims in (2, 3)
-        kind %= 1000
-        if code & 0x20000000:
-            offset += 4  # the reference system follows; a layer has one
-        axes = "xy" + "z" * has_z + "m" * has_m
-        if kind == 5:
-            (n,) = struct.unpack_from(f"{order}I", buffer, offset)
-            offset, parts = offset + 4, []
-            for _ in range(n):
-                inner, offset = geometry(offset)
-                parts += inner
-            return parts, offset
-        if kind not in (1, 2):
-            raise ValueError(f"unsupported WKB geometry type {kind}")
-        n = 1
-        if kind == 2:
-            (n,) = struct.unpack_from(f"{order}I", buffer, offset)
-            offset += 4
-        rows, offset = _wkb_vertices(buffer, offset, order, len(axes), n)
-        return [[{axis: row[axes.index(axis)] if axis in axes else None for axis in "xyzm"} for row in rows]], offset
-    return geometry(0)[0]
-
-
-@F.pandas_udf(LINE)
-def wkb_to_line(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for wkb in batches:
-        yield wkb.map(_wkb_parts)
-
-
-def read_layer(spark: SparkSession, path: str, schema: T.StructType, id_col: str | None = None, fmt: str = "parquet") -> DataFrame:
+_POINT, _LINE, _MULTI_LINE = 1, 2, 5
+
+
+def _wkb_part(buffer: memoryview, offset: int) -> tuple[int, int, str, str, int]:
+    """Of the ISO or extended WKB geometry at ``offset``: type, place of what follows its header, byte order, axes, and count."""
+    order = "<" if buffer[offset] else ">"
+    (code,) = struct.unpack_from(f"{order}I", buffer, offset + 1)
+    offset += 9 if code & 0x20000000 else 5  # the reference system may follow; a layer has one
+    kind, dims = (code & 0xFFFF) % 1000, (code & 0xFFFF) // 1000
+    axes = "xy" + "z" * (bool(code & 0x80000000) or dims in (1, 3)) + "m" * (bool(code & 0x40000000) or dims in (2, 3))
+    if kind == _POINT:
+        return kind, offset, order, axes, 1
+    (n,) = struct.unpack_from(f"{order}I", buffer, offset)
+    return kind, offset + 4, order, axes, n
+
+
+def _wkb_parts(buffer: memoryview) -> list[tuple[str, np.ndarray]]:
+    """Axes and ordinates (a row per vertex) of each part; a view of the buffer where the byte order is the machine's."""
+    kind, offset, order, axes, n = _wkb_part(buffer, 0)
+    parts = []
+    for _ in range(n if kind == _MULTI_LINE else 1):
+        if kind == _MULTI_LINE:
+            inner, offset, order, axes, n = _wkb_part(buffer, offset)
+        else:
+            inner = kind
+        if inner not in (_POINT, _LINE):
+            raise ValueError(f"geometry type {inner}")
+        values = np.frombuffer(buffer, f"{order}f8", n * len(axes), offset)
+        offset += values.nbytes
+        parts.append((axes, values.reshape(n, len(axes))))
+    if offset != len(buffer):
+        raise ValueError(f"{len(buffer) - offset} bytes too many")
+    return parts
+
+
+def decode_wkb(values: pa.Array) -> pa.Array:
+    """``struct<geom, error>`` for an Arrow array of WKB: nested lists made from whole columns, and why a value is no line or point."""
+    parts, errors, counts = [], [], []
+    for value in values:
+        found, error = [], None
+        if value.is_valid:
+            try:
+                found = _wkb_parts(memoryview(value.as_buffer()))
+            except (ValueError, IndexError, struct.error) as problem:
+                error = str(problem) or type(problem).__name__
+        parts += found
+        errors.append(error)
+        counts.append(len(found) if value.is_valid and error is None else None)
+    sizes = [len(v) for _, v in parts]
+    columns = []
+    for axis in "xyzm":
+        known = [axes.find(axis) for axes, _ in parts]
+        flat = np.concatenate([np.empty(0), *[v[:, k] if k >= 0 else np.full(len(v), np.nan) for k, (_, v) in zip(known, parts)]]).astype("=f8")
+        columns.append(pa.array(flat, mask=np.repeat(np.array(known, int) < 0, sizes)))
+    vertices = pa.StructArray.from_arrays(columns, list("xyzm"))
+    lines = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), vertices)
+    ends = np.cumsum([0, *[n or 0 for n in counts]])
+    # a null offset marks a null list
+    offsets = pa.array([None if n is None else int(end) for n, end in zip(counts, ends)] + [int(ends[-1])], pa.int32())
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, lines), pa.array(errors, pa.string())], ["geom", "error"])
+
+
+@F.arrow_udf(T.StructType([T.StructField("geom", LINE), T.StructField("error", T.StringType())]))
+def _decoded(values: pa.Array) -> pa.Array:
+    return decode_wkb(values)
+
+
+def read_layer(spark: SparkSession, path: str, schema: T.StructType, id_col: str | None = None, fmt: str = "parquet",
+               reject: str | None = None) -> DataFrame:
     """Read a layer with the columns of ``schema``; filters on the result reach a Parquet scan.
 
     ``fmt``: ``parquet`` (geometry as arrays of vertices), ``wkb`` (Parquet with a binary ``geom``), ``geojsonl`` (one
     feature per line, which splits into tasks) or ``geojson`` (feature collections, one task per file). ``id_col`` is
-    taken from the feature's id where its property is missing.
+    taken from the feature's id where its property is missing. ``reject`` names one more column for ``wkb``: why the geometry of a
+    row cannot be read, which is NULL then; without it such a row fails the read.
     """
     names = schema.fieldNames()
     if fmt == "parquet":
         return spark.read.schema(schema).parquet(path)
     if fmt == "wkb":
         stored = T.StructType([T.StructField(f.name, T.BinaryType() if f.name == "geom" else f.dataType) for f in schema])
-        parts = wkb_to_line("geom")
-        is_point = "geom" in names and schema["geom"].dataType == POINT
-        return spark.read.schema(stored).parquet(path).withColumn("geom", parts[0][0] if is_point else parts)
+        rows = spark.read.schema(stored).parquet(path)
+        if "geom" not in names:
+            return rows
+        parts = F.col("_read.geom") if reject else F.when(F.col("_read.error").isNull(), F.col("_read.geom")).otherwise(
+            F.raise_error(F.concat(F.lit("no line or point in WKB: "), F.col("_read.error"))))
+        geom = parts[0][0] if schema["geom"].dataType == POINT else parts
+        rows = rows.withColumn("_read", _decoded("geom"))
+        return rows.select(*[geom.alias(n) if n == "geom" else F.col(n) for n in names],
+                           *([F.col("_read.error").alias(reject)] if reject else []))
     if fmt in ("geojson", "geojsonl"):
         return _read_geojson(spark, path, schema, id_col, fmt == "geojson")
     raise ValueError(f"fmt: {fmt!r}")

@@ -3,9 +3,11 @@
 import json
 import struct
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from linecross import schema
+from linecross.operators.filters import streams_of
 from linecross.plans.job import run
 from linecross.sources.layers import read_codes, read_layer
 from linecross.sources.sinks import write_crossings, write_report
@@ -47,6 +49,43 @@ def test_wkb(spark, tmp_path):
     assert got[4] is None
 
 
+def test_bad_wkb(spark, tmp_path):
+    good = struct.pack("<BII4d", 1, 2, 2, 0, 1, 2, 3)
+    bad = [b"", b"\x01", good[:-3], good + b"x", struct.pack("<BII", 1, 3, 0), struct.pack("<BII", 1, 5, 1) + struct.pack("<BII", 1, 3, 0)]
+    rows = [(0, good), (1, None), (2, struct.pack("<BII", 1, 5, 0)), *[(10 + n, b) for n, b in enumerate(bad)]]
+    stored = T.StructType([T.StructField("railway_track_id", T.IntegerType()), T.StructField("geom", T.BinaryType())])
+    spark.createDataFrame(rows, stored).write.parquet(str(tmp_path / "w"))
+    got = {r.railway_track_id: r for r in read_layer(spark, str(tmp_path / "w"), schema.RAIL, fmt="wkb", reject="why").collect()}
+    assert got[0].geom[0][1].x == 2.0 and got[0].why is None and got[1].geom is None and got[1].why is None and got[2].geom == []
+    assert all(got[10 + n].geom is None and got[10 + n].why for n in range(len(bad)))
+    with pytest.raises(Exception, match="no line or point in WKB"):
+        read_layer(spark, str(tmp_path / "w"), schema.RAIL, fmt="wkb").collect()
+
+
+def test_region_scan_is_pruned(spark, tmp_path):
+    rows = [{"modelled_crossing_id": i, "watershed_group_code": g, "at": (0, 0)} for i, g in enumerate("AABC")]
+    write_crossings(crossings(spark, *rows), str(tmp_path / "x"))
+    plan = streams_of(spark.read.schema(schema.CROSSINGS).parquet(str(tmp_path / "x")), ["A"])._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "watershed_group_code" in filters and "= A" in filters
+
+
+def test_run_counts_rejects_and_snapshot(spark, tmp_path):
+    # a stream without measures, one whose measures lie elsewhere, and a good one; FTEN roads 5 m apart from DRA ones
+    far = line([(0, 200, 5000), (100, 200, 5100)])
+    streams = stream(spark, [{}, {"linear_feature_id": 2, "geom": far}, {"linear_feature_id": 3, "geom": line([(0, 400, 1000), (40, 400, 1040)], [(60, 400, 1060), (100, 400, 1100)])}])
+    shifted = lambda y: line([(50, y - 9), (50, y + 9)])
+    inputs = {"streams": streams, "dra": dra(spark, (1, "RLO", across(20))), "ften": ften(spark, ("a", across(25)), ("b", shifted(200)), ("c", line([(20, 391), (20, 409)]))),
+              "mot": spark.createDataFrame([], schema.MOT), "pscis_events": spark.createDataFrame([], schema.PSCIS_EVENTS),
+              "pscis_points": spark.createDataFrame([], schema.PSCIS_POINTS), "rail_structures": spark.createDataFrame([], schema.RAIL_STRUCTURES)}
+    done = run(spark, inputs, str(tmp_path), snapshot=True)
+    summary = spark.read.parquet(str(tmp_path / "summary")).first().asDict()
+    rejected = {(r.linear_feature_id, r.reason) for r in spark.read.parquet(str(tmp_path / "rejected")).collect()}
+    assert rejected == {(2, "the measure is not on the stream"), (3, "the stream takes no measure")}
+    assert summary == {"unmeasured": 1, "off_measure": 1, "off_stream": 0, "off_road": 0, "found": 2, "kept": 1, "obs": 0, "cbs": 1, "tagged": 0, "merged": 1}
+    assert done.count() == 1 and spark.read.parquet(str(tmp_path / "snapshot")).count() == 2
+
+
 def test_write_single_regions(spark, tmp_path):
     path = str(tmp_path / "x")
     both = crossings(spark, {"modelled_crossing_id": 1, "watershed_group_code": "A", "at": (0, 0)}, {"modelled_crossing_id": 2, "watershed_group_code": "B", "at": (0, 0)})
