@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterator
 from urllib.parse import urlparse
@@ -14,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from linecross.staging import delete_path, discard, new_path, stage
 
-__all__ = ["byte_slices", "crc_mod", "delete_path", "discard", "fold_ascii", "local_path", "map_batches", "new_path", "ranges", "read_table",
+__all__ = ["byte_slices", "crc_mod", "delete_path", "discard", "fold_ascii", "give_back", "local_path", "map_batches", "new_path", "ranges", "read_table",
            "shared_folder", "stage", "words", "write_file"]
 
 
@@ -43,6 +45,7 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.Table | p
             if batch.num_rows:
                 out = function(batch)
                 yield from (out.to_batches() if isinstance(out, pa.Table) else [out])
+        give_back()
     return df.mapInArrow(run, schema)
 
 
@@ -59,6 +62,16 @@ def byte_slices(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iter
         first = end
 
 
+def give_back() -> None:
+    """Return freed memory to the machine. Workers serve one stage after the other and would keep the largest one's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new URI below the staging folder, for files that tasks write and read themselves."""
     uri = new_path(spark, label)

@@ -18,7 +18,8 @@ which carry the smallest position and the span of sizes: two blocks are skipped
 there. Pairs that remain are verified on their whole sets.
 
 Cases: null and wordless texts have an empty set and link with nothing; with fewer words than n the whole sequence is the one
-shingle; a null id is kept and never names a component that has other ids; repeated rows share a node; an empty table gives an empty
+shingle; a null id is kept, links like any other
+and never names a component that has other ids; repeated rows share a node; an empty table gives an empty
 result. 64-bit hashes stand for shingles and sets.
 """
 
@@ -30,12 +31,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from linecross.llm.common import discard, hashed_words, map_batches, mix64, stage, text_slices
+from linecross.llm.common import byte_slices, discard, give_back, hashed_words, map_batches, mix64, stage
 from linecross.operators.components import connected_components
 
 #: Buckets of the estimate of shingle counts: a table of fixed size, whatever the corpus.
 BUCKETS, CHUNK = 1 << 20, 1 << 14
 _SHIFT = np.uint64(64 - 20)
+#: Hashes of sets that a task remembers, to list copies once.
+SEEN = 1 << 20
 
 
 def shingle_sets(texts: list[str | None], n: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -78,25 +81,26 @@ def _signatures(sets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _scan(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
-    """Staged (doc_id, n_shingles, sig), and the count of shingles in each bucket."""
+    """Staged (doc_id, row, n_shingles, sig), and the count of shingles in each bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counted = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in text_slices(texts):
-                sets, sizes = shingle_sets(texts[a:b], n)
+            for part in byte_slices(batch, "text"):
+                sets, sizes = shingle_sets(part.column("text").to_pylist(), n)
                 counted += np.bincount((sets >> _SHIFT).astype(np.int64), minlength=BUCKETS)
-                sig = np.zeros(b - a, np.int64)
+                sig = np.zeros(len(sizes), np.int64)
                 sig[sizes > 0] = _signatures(sets, sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(sizes), pa.array(sig, mask=sizes == 0), pa.nulls(b - a, pa.int32()),
-                     pa.nulls(b - a, pa.binary())], _SCAN)
+                    [part.column("doc_id"), part.column("row"), pa.array(sizes), pa.array(sig, mask=sizes == 0),
+                     pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())], _SCAN)
         chunks = [c for c in range(BUCKETS // CHUNK) if counted[c * CHUNK:(c + 1) * CHUNK].any()]
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(chunks), pa.int64()), pa.nulls(len(chunks), pa.int64()), pa.nulls(len(chunks), pa.int64()),
+            [*[pa.nulls(len(chunks), pa.int64())] * 4,
              pa.array(chunks, pa.int32()), pa.array([counted[c * CHUNK:(c + 1) * CHUNK].astype("<i8").tobytes() for c in chunks], pa.binary())], _SCAN)
+        give_back()
 
-    staged = stage(docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, sig bigint, chunk int, counts binary"), "sets")
+    staged = stage(docs.select("doc_id", "row", "text").mapInArrow(
+        run, "doc_id bigint, row bigint, n_shingles bigint, sig bigint, chunk int, counts binary"), "sets")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -111,10 +115,10 @@ def _scan(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
     table = np.zeros(BUCKETS, np.int64)
     for row in summed.collect():  # BUCKETS numbers
         table[row.chunk * CHUNK:(row.chunk + 1) * CHUNK] += np.frombuffer(row.counts, "<i8")
-    return staged.where("chunk IS NULL").select("doc_id", "n_shingles", "sig"), table
+    return staged.where("chunk IS NULL").select("doc_id", "row", "n_shingles", "sig"), table
 
 
-_SCAN = ["doc_id", "n_shingles", "sig", "chunk", "counts"]
+_SCAN = ["doc_id", "row", "n_shingles", "sig", "chunk", "counts"]
 
 
 def _postings(docs: DataFrame, table: np.ndarray, n: int, percent: int) -> DataFrame:
@@ -122,21 +126,18 @@ def _postings(docs: DataFrame, table: np.ndarray, n: int, percent: int) -> DataF
     shared = docs.sparkSession.sparkContext.broadcast(table.astype(np.int64))  # BUCKETS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counted, seen = shared.value, set()
+        counted, seen = shared.value, np.empty(0, np.int64)
         usual = int(np.median(counted))
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in text_slices(texts):
-                sets, sizes = shingle_sets(texts[a:b], n)
+            for part in byte_slices(batch, "text"):
+                sets, sizes = shingle_sets(part.column("text").to_pylist(), n)
                 sig = _signatures(sets, sizes)
                 sizes = sizes[sizes > 0]
                 # Copies of a set that this task has listed already add nothing.
                 fresh = np.zeros(len(sig), bool)
-                for k, s in enumerate(sig.tolist()):
-                    fresh[k] = s not in seen
-                    seen.add(s)
-                if len(seen) > 1_000_000:
-                    seen.clear()
+                fresh[np.unique(sig, return_index=True)[1]] = True
+                fresh &= ~np.isin(sig, seen)
+                seen = np.union1d(seen, sig) if len(seen) < SEEN else np.unique(sig)
                 if not fresh.any():
                     continue
                 sets = sets[np.repeat(fresh, sizes)]
@@ -153,6 +154,7 @@ def _postings(docs: DataFrame, table: np.ndarray, n: int, percent: int) -> DataF
                 salt = (sig[owner].view(np.uint64) % salts.astype(np.uint64)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(sets[chosen].view(np.int64)), pa.array(salt), pa.array(size_class[owner]),
                                                   pa.array(pos.astype(np.int32)), pa.array(sizes[owner].astype(np.int32)), pa.array(sig[owner])], _POSTING)
+        give_back()
 
     return docs.select("text").mapInArrow(run, "token bigint, salt int, class int, pos int, n int, sig bigint")
 
@@ -228,29 +230,30 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(sig, set) of the wanted nodes, from the text of one document each."""
-    chosen = nodes.join(wanted, "sig").groupBy("doc_id").agg(F.min("sig").alias("sig"))
-    texts = docs.select("doc_id", "text").join(chosen.select("doc_id"), "doc_id", "left_semi")
+    """(sig, set) of the wanted nodes, from the text of one document each, and from all rows without an id for nodes of such rows alone."""
+    asked = nodes.join(wanted, "sig")
+    named = docs.join(asked.where("doc_id IS NOT NULL").select("doc_id").distinct(), "doc_id", "left_semi")
+    texts = named.unionByName(docs.where("doc_id IS NULL")).select("text")
 
     def run(batch: pa.RecordBatch) -> pa.Table:
-        out, texts = [], batch.column(1).to_pylist()
-        for a, b in text_slices(texts):
-            sets, sizes = shingle_sets(texts[a:b], n)
+        out = []
+        for part in byte_slices(batch, "text"):
+            sets, sizes = shingle_sets(part.column("text").to_pylist(), n)
             sig = _signatures(sets, sizes)
             sizes = sizes[sizes > 0]
             parts = np.split(sets, np.cumsum(sizes)[:-1]) if len(sizes) else []
             out.append(pa.RecordBatch.from_arrays([pa.array(sig), pa.array([p.astype("<u8").tobytes() for p in parts], pa.binary())], ["sig", "set"]))
         return pa.Table.from_batches(out, pa.schema([("sig", pa.int64()), ("set", pa.binary())]))
 
-    return map_batches(texts, run, "sig bigint, set binary").dropDuplicates(["sig"])
+    return map_batches(texts, run, "sig bigint, set binary").join(asked.select("sig"), "sig", "left_semi").dropDuplicates(["sig"])
 
 
-def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row; sets link at ``percent`` per cent of their union."""
-    docs = docs.select("doc_id", "text")
+def _components(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Staged (doc_id, row, n_shingles, sig) of ``docs`` (doc_id, row, text), and (sig, doc_id, root): every node, the least id that
+    has it, and its component."""
     rows, table = _scan(docs, n)
     lists = stage(_shared_lists(_postings(docs, table, n, percent)), "lists")
-    nodes = rows.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
+    nodes = rows.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
 
     def fits(a: str, b: str) -> str:
         return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
@@ -292,15 +295,27 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFra
     discard(sets, entries, lists)
     roots = connected_components(links.unionAll(more))
 
-    of_node = nodes.join(roots.selectExpr("node AS sig", "root"), "sig", "left").select(F.coalesce("root", "sig").alias("root"), "sig", "doc_id")
-    smallest = of_node.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = of_node.join(smallest, "root").select("sig", "component_id")
+    of_node = nodes.join(roots.selectExpr("node AS sig", "root"), "sig", "left")
+    return rows, of_node.select("sig", "doc_id", F.coalesce("root", "sig").alias("root"))
+
+
+def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row; sets link at ``percent`` per cent of their union."""
+    rows, nodes = _components(docs.selectExpr("doc_id", "0L AS row", "text"), n, percent)
+    smallest = nodes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    named = nodes.join(smallest, "root").select("sig", "component_id")
     return rows.join(named, "sig", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one_per_group(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, one row for each such id; rows without words stay too."""
-    groups = similar_documents(docs, n, percent)
-    kept = groups.where("doc_id = component_id OR doc_id IS NULL").select("doc_id").where("doc_id IS NOT NULL").distinct()
-    named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi")
-    return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """One row of ``docs`` per component: that with the least id (null last), of these with the least hash of all its columns.
+
+    Rows equal in every column are one. Different texts that share an id but do not link both stay. Rows without words stay as they are.
+    """
+    marked = docs.withColumn("_row", F.xxhash64(*docs.columns))
+    rows, nodes = _components(marked.select("doc_id", F.col("_row").alias("row"), "text"), n, percent)
+    first = rows.join(nodes.select("sig", "root"), "sig").groupBy("root").agg(F.expr("min(struct(doc_id IS NULL AS missing, doc_id, row)) AS first"))
+    kept = first.selectExpr("first.doc_id AS _id", "first.row AS _row")
+    words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    named = marked.where(words).join(kept, (marked["_row"] == kept["_row"]) & marked["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
+    return named.dropDuplicates(["doc_id", "_row"]).select(*docs.columns).unionByName(docs.where(~words))

@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from linecross.llm.common import crc_mod, map_batches
+from linecross.llm.common import byte_slices, crc_mod, give_back, map_batches
 
 #: Family of each language code. Other codes form a family of their own.
 FAMILIES = {
@@ -176,13 +176,17 @@ class LanguageModel:
 
 
 def train_language_model(docs: DataFrame, per_language: int = 300, text: str = "text", lang: str = "lang") -> LanguageModel:
-    """Learn from a sample of ``per_language`` labelled rows of each language; the sample does not depend on partitioning.
+    """Learn from a sample of ``per_language`` different labelled texts of each language; it does not depend on partitioning.
 
     The driver gets one sparse row of at most ``BUCKETS`` counts per sampled text.
     """
-    window = Window.partitionBy("lang").orderBy(F.xxhash64("text"))
-    rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    sample = rows.withColumn("n", F.row_number().over(window)).where(F.col("n") <= per_language).select("lang", "text")
+    rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL").withColumn(
+        "h", F.xxhash64("text"))
+    # Hashes alone are ranked, each once, so copies take no places and texts stay where they are until they are chosen.
+    ranked = rows.select("lang", "h").distinct().withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    chosen = ranked.where(F.col("n") <= per_language).select("lang", "h")
+    # As many rows as the driver takes below, so every task can hold them, and no text is shuffled.
+    sample = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts = [feature_counts(t) for t in batch.column(1).to_pylist()]
@@ -197,7 +201,10 @@ def train_language_model(docs: DataFrame, per_language: int = 300, text: str = "
         row = np.zeros(BUCKETS, np.float32)
         row[at.values.to_numpy()] = n.values.to_numpy()
         counts.setdefault(name, []).append(row)
-    return LanguageModel({name: np.stack(sorted(rows, key=lambda r: r.tobytes())) for name, rows in counts.items()}, per_language)
+    model = LanguageModel({name: np.stack(sorted(rows, key=lambda r: r.tobytes())) for name, rows in counts.items()}, per_language)
+    del found, counts
+    give_back()
+    return model
 
 
 def predict_language(docs: DataFrame, model: LanguageModel, text: str = "text", lang_pred: str = "lang_pred",
@@ -207,10 +214,13 @@ def predict_language(docs: DataFrame, model: LanguageModel, text: str = "text",
     names = [c for c in docs.columns if c not in (lang_pred, score)]
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names), f"`{lang_pred}` string, `{score}` double"])
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found, scores = shared.value.predict(batch.column(text).to_pylist())
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, pa.string()), pa.array(scores)],
-                                          [*names, lang_pred, score])
+    def run(batch: pa.RecordBatch) -> pa.Table:
+        told = []
+        for part in byte_slices(batch, text):
+            found, scores = shared.value.predict(part.column(text).to_pylist())
+            told.append(pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(found, pa.string()), pa.array(scores)],
+                                                   [*names, lang_pred, score]))
+        return pa.Table.from_batches(told)
 
     return map_batches(docs, run, schema)
 

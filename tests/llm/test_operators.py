@@ -494,6 +494,37 @@ def test_one_of_each_group(odd, empty):
     assert jaccard.keep_one_per_group(empty).count() == 0
 
 
+def _bridge():
+    """Texts a, b, c with a ~ b and b ~ c, but not a ~ c."""
+    words = [f"w{k}" for k in range(60)]
+    return [" ".join(w) for w in (words, words[4:] + [f"x{k}" for k in range(4)], words[8:] + [f"x{k}" for k in range(8)])]
+
+
+def test_rows_without_an_id_link_too(spark):
+    a, b, c = _bridge()
+    rows = [(1, a), (None, b), (3, c), (None, "lone words that have no id and no kin"), (7, "seven"), (7, "quite another text under the same id")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(((r.doc_id, r.component_id) for r in jaccard.similar_documents(docs).collect()), key=str)
+    assert got == sorted([(1, 1), (None, 1), (3, 1), (None, None), (7, 7), (7, 7)], key=str)
+
+
+def test_kept_rows(spark):
+    a, b, c = _bridge()
+    rows = [(1, a, "x"), (None, b, "x"), (3, c, "x"), (None, "lone words", "x"), (None, "lone words", "y"), (7, "seven", "x"), (7, "seven", "x"),
+            (7, "quite another text", "x"), (8, " ", "x"), (8, None, "x")]
+    kept = jaccard.keep_one_per_group(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(
+        [(1, a), (None, "lone words"), (7, "seven"), (7, "quite another text"), (8, " "), (8, None)], key=str)
+
+
+def test_language_sample_of_different_texts(spark):
+    docs = table(spark, "documents", SMALL)
+    copies = docs.groupBy("lang").agg(F.min("text").alias("text")).where("lang IS NOT NULL").crossJoin(spark.range(300)).select("text", "lang")
+    model = langid.train_language_model(docs.select("text", "lang").unionByName(copies))
+    told = langid.predict_language(docs.select("text", "lang"), model).where("lang IS NOT NULL")
+    assert told.where("lang = lang_pred").count() >= 0.97 * told.count()
+
+
 def test_word_hashes():
     texts = ["a bb ccc", "", None, "ccc A", "\x00é \n"]
     hashes, counts = hashed_words(texts)

@@ -48,4 +48,4 @@ def test_run_keeps_rows_of_last_stage(spark):
 
 
 def test_registered_names():
-    assert len({name.split("_")[0] for name in queries.QUERIES}) == 10
+    assert len({name.split("_")[0] for name in queries.QUERIES}) == 13
