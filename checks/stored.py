@@ -6,7 +6,7 @@ import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from checks.catalog import _ID_COLUMNS, _ID_SQL, _SRC, _WITH_SOURCE, _r, final_crossings, register
 from checks.map_views import all_layers, layer
@@ -65,12 +65,18 @@ def _(spark, sf):
 
 @register("read_geojson_layer", f"SELECT og_road_segment_permit_id, status, {_XY} FROM fx_ogc")
 def _(spark, sf):
-    """Collections of up to a hundred features, one per file."""
-    features = _features(layer(spark, sf, "ogc"), "og_road_segment_permit_id")
-    collections = features.groupBy(F.expr("og_road_segment_permit_id DIV 100 AS part")).agg(F.collect_list("feature").alias("features")).selectExpr(
-        "part", "to_json(named_struct('type', 'FeatureCollection', 'features', features)) AS value")
-    path = stored(spark, sf, "geojson-ogc", lambda p: collections.write.partitionBy("part").text(p))
-    return read_layer(spark, f"{path}/*", schema.OGC, "og_road_segment_permit_id", "geojson").selectExpr(
+    """Collections of two thousand features, one per file, each read in ranges of 16 KB by tasks of their own."""
+    features = _features(layer(spark, sf, "ogc"), "og_road_segment_permit_id").selectExpr(
+        "og_road_segment_permit_id AS id", "og_road_segment_permit_id DIV 2000 AS part", "to_json(feature) AS value")
+
+    def write(path: str) -> None:
+        place = Window.partitionBy("part").orderBy("id")
+        lines = features.withColumn("at", F.row_number().over(place)).selectExpr("part", "at", "IF(at = 1, value, concat(',', value)) AS value")
+        frame = lines.select("part").distinct().select("part", F.inline(F.array(*[F.struct(F.lit(at).alias("at"), F.lit(text).alias("value")) for at, text in (
+            (0, '{"type": "FeatureCollection", "features": ['), (1 << 30, "]}"))])))
+        lines.unionByName(frame).repartition("part").sortWithinPartitions("part", "at").select("part", "value").write.partitionBy("part").text(path)
+    path = stored(spark, sf, "geojson-ogc", write)
+    return read_layer(spark, f"{path}/*", schema.OGC, "og_road_segment_permit_id", "geojson", range_bytes=1 << 14).selectExpr(
         "CAST(og_road_segment_permit_id AS BIGINT) AS og_road_segment_permit_id", "status", *_ENDS)
 
 

@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from linecross.functions import planar
 from linecross.schema import LINE, POINT
+from linecross.sources.collections import RANGE_BYTES, collection_features
 
 _VERTEX_ARRAY = T.ArrayType(T.DoubleType())
+_CORRUPT = "_corrupt_record"
 
 
 def _vertex(c: Column) -> Column:
@@ -31,15 +33,20 @@ def _geojson_line(kind: Column, coordinates: Column) -> Column:
     return F.when(kind == "LineString", F.array(part(single))).when(kind == "MultiLineString", F.transform(multi, part))
 
 
-def _read_geojson(spark: SparkSession, path: str, schema: T.StructType, id_col: str | None, collection: bool) -> DataFrame:
+def _read_geojson(spark: SparkSession, path: str, schema: T.StructType, id_col: str | None, range_bytes: int | None) -> DataFrame:
+    """Features of collections, read by ranges of ``range_bytes``, or one feature per line where that is None."""
     properties = T.StructType([f for f in schema if f.name != "geom"])
     # the JSON reader keeps a nested value as text where the schema asks for a string
     geometry = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
     feature = T.StructType([T.StructField("id", T.StringType()), T.StructField("properties", properties),
                             T.StructField("geometry", geometry)])
-    if collection:
-        whole = T.StructType([T.StructField("features", T.ArrayType(feature))])
-        features = spark.read.schema(whole).option("multiLine", True).json(path).select(F.inline("features"))
+    if range_bytes:
+        read = T.StructType([*feature, T.StructField("type", T.StringType()), T.StructField(_CORRUPT, T.StringType())])
+        parsed = F.from_json("feature", read, {"columnNameOfCorruptRecord": _CORRUPT})
+        features = collection_features(spark, path, range_bytes).select(parsed.alias("f")).select("f.*")
+        broken = F.col("type").isNull() & F.col(_CORRUPT).isNotNull()
+        features = features.where(F.when(broken, F.raise_error(F.concat(F.lit("no JSON: "), F.substring(_CORRUPT, 1, 200))).cast("boolean")).otherwise(
+            F.col("type") == "Feature"))
     else:
         features = spark.read.schema(feature).json(path)
     columns = []
@@ -124,12 +131,12 @@ def _decoded(values: pa.Array) -> pa.Array:
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType, id_col: str | None = None, fmt: str = "parquet",
-               reject: str | None = None) -> DataFrame:
+               reject: str | None = None, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Read a layer with the columns of ``schema``; filters on the result reach a Parquet scan.
 
     ``fmt``: ``parquet`` (geometry as arrays of vertices), ``wkb`` (Parquet with a binary ``geom``), ``geojsonl`` (one
-    feature per line, which splits into tasks) or ``geojson`` (feature collections, one task per file). ``id_col`` is
-    taken from the feature's id where its property is missing. ``reject`` names one more column for ``wkb``: why the geometry of a
+    feature per line, which splits into tasks) or ``geojson`` (feature collections, read in ranges of ``range_bytes`` whatever
+    their layout). ``id_col`` is taken from the feature's id where its property is missing. ``reject`` names one more column for ``wkb``: why the geometry of a
     row cannot be read, which is NULL then; without it such a row fails the read.
     """
     names = schema.fieldNames()
@@ -147,7 +154,7 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType, id_col: str
         return rows.select(*[geom.alias(n) if n == "geom" else F.col(n) for n in names],
                            *([F.col("_read.error").alias(reject)] if reject else []))
     if fmt in ("geojson", "geojsonl"):
-        return _read_geojson(spark, path, schema, id_col, fmt == "geojson")
+        return _read_geojson(spark, path, schema, id_col, range_bytes if fmt == "geojson" else None)
     raise ValueError(f"fmt: {fmt!r}")
 
 

@@ -3,6 +3,7 @@
 import json
 import struct
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -29,6 +30,55 @@ def test_geojson(spark, tmp_path):
         assert got[7] is None
 
 
+@pytest.mark.parametrize("range_bytes", [1, 7, 64, 1000])
+def test_collection_ranges(spark, tmp_path, range_bytes, monkeypatch):
+    """Whatever byte a range begins at, each feature is read once: escapes, brackets in strings, features inside features, member order."""
+    nasty = ['{"type": "Feature"}', '\\', '"', '\\"{[', ']}', 'é\u2028{', ' : {', '\\\\', '']
+    features = [{"geometry": {"type": "LineString", "coordinates": [[n, 0], [n, 1]]}, "properties": {
+        "railway_track_id": n, "note": text, text: [{"type": "Feature", "id": 99}], "deep": {"type": "Feature", "x": [[{}]]}}, "type": "Feature"}
+        for n, text in enumerate(nasty)]
+    whole = {"crs": {"properties": {"name": "x"}, "list": [{"type": "Feature", "id": 77}]}, "links": [{"rel": "{"}], "features": features,
+             "type": "FeatureCollection"}
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "a.json").write_text(json.dumps(whole, indent=2))
+    (tmp_path / "c" / "b.json").write_text(json.dumps({"type": "FeatureCollection", "features": []}))
+    (tmp_path / "c" / "c.json").write_text(json.dumps({"features": [{**features[0], "properties": {"railway_track_id": 50}}]}, ensure_ascii=False, separators=(",", ":")))
+    (tmp_path / "c" / "empty.json").write_text("")
+    if range_bytes < 64:  # the ranges themselves, without a task for each
+        from linecross.sources import collections
+        found = []
+        for name in "abc":
+            path = f"file:{tmp_path}/c/{name}.json"
+            size, odd, depth = (tmp_path / "c" / f"{name}.json").stat().st_size, 0, 0
+            for start in range(0, size, range_bytes):
+                end = min(size, start + range_bytes)
+                found += collections._features(path, start, end, odd, depth)
+                row = next(collections._count([pa.RecordBatch.from_pydict({"path": [path], "start": [start], "end": [end]})])).to_pylist()[0]
+                odd, depth = (odd + row["quotes"]) % 2, depth + row["inside" if odd else "outside"]
+            assert (odd, depth) == (0, 0)
+        found = [json.loads(f) for f in found]
+        got = [f["properties"]["railway_track_id"] for f in found if f.get("type") == "Feature"]
+    else:
+        rows = read_layer(spark, str(tmp_path / "c"), schema.RAIL, "railway_track_id", "geojson", range_bytes=range_bytes)
+        assert range_bytes > 64 or rows.rdd.getNumPartitions() > 20
+        got = [r.railway_track_id for r in rows.collect()]
+    assert sorted(got) == [*range(len(nasty)), 50]
+
+
+def test_broken_collections(spark, tmp_path):
+    import gzip
+    feature = {"type": "Feature", "properties": {"railway_track_id": 1}, "geometry": None}
+    text = json.dumps({"type": "FeatureCollection", "features": [feature, feature]})
+    (tmp_path / "packed.json.gz").write_bytes(gzip.compress(text.encode()))
+    assert read_layer(spark, str(tmp_path / "packed.json.gz"), schema.RAIL, fmt="geojson", range_bytes=8).count() == 2
+    (tmp_path / "cut.json").write_text(text[:-20])
+    with pytest.raises(Exception, match="ends inside a feature"):
+        read_layer(spark, str(tmp_path / "cut.json"), schema.RAIL, fmt="geojson", range_bytes=50).count()
+    (tmp_path / "bad.json").write_text(text.replace('"railway_track_id"', "railway"))
+    with pytest.raises(Exception, match="no JSON"):
+        read_layer(spark, str(tmp_path / "bad.json"), schema.RAIL, fmt="geojson").collect()
+
+
 def test_geojson_points(spark, tmp_path):
     row = {"type": "Feature", "properties": {"hwy_structure_class_id": 1, "bmis_structure_type": "BRIDGE"}, "geometry": {"type": "Point", "coordinates": [1.5, 2.5]}}
     (tmp_path / "p.geojsonl").write_text(json.dumps(row))
