@@ -37,10 +37,12 @@ def _merge(geom: str) -> str:
     def tail(p: str) -> str:
         return f"named_struct('x', element_at({p}, -1).x, 'y', element_at({p}, -1).y)"
 
-    # the first remaining part that continues the chain: 1 at its end, 2 there reversed, 3 at its start, 4 there reversed
+    # how a remaining part continues the chain: 1 at its end, 2 there reversed, 3 at its start, 4 there reversed
     how = (f"CASE WHEN {head('p')} = {tail('acc.chain')} THEN 1 WHEN {tail('p')} = {tail('acc.chain')} THEN 2 "
            f"WHEN {tail('p')} = {head('acc.chain')} THEN 3 WHEN {head('p')} = {head('acc.chain')} THEN 4 ELSE 0 END")
-    step = f"get(filter(transform(acc.rest, (p, i) -> named_struct('how', {how}, 'at', i, 'p', p)), f -> f.how > 0), 0)"
+    fits = f"filter(transform(acc.rest, (p, i) -> named_struct('how', {how}, 'at', i, 'p', p)), f -> f.how > 0)"
+    # the end grows first, so a ring starts where its first part does
+    step = planar.let("fits", fits, "coalesce(get(filter(fits, f -> f.how <= 2), 0), get(fits, 0))")
     chain = ("CASE f.how WHEN 1 THEN concat(acc.chain, slice(f.p, 2, size(f.p))) "
              "WHEN 2 THEN concat(acc.chain, slice(reverse(f.p), 2, size(f.p))) "
              "WHEN 3 THEN concat(f.p, slice(acc.chain, 2, size(acc.chain))) "
@@ -62,7 +64,8 @@ def _merge(geom: str) -> str:
 def merge_parts(df: DataFrame, geom: str = "geom", merged: str = "merged") -> DataFrame:
     """Add ``merged``: the parts of each line joined end to end, whatever their order and direction.
 
-    NULL where the parts leave a gap or branch; route such rows to a reject output with ``merged IS NULL``.
+    NULL where the parts leave a gap or branch; route such rows to a reject output with ``merged IS NULL``. A ring starts where its first
+    part does. Work inside a row grows with the square of its parts: ``operators.merging`` takes lines of hundreds of parts and more.
     """
     simple = f"size({geom}) = 1 AND size({geom}[0]) > 1"
     return df.withColumn(merged, F.expr(f"CASE WHEN {simple} THEN {geom}[0] ELSE {_merge(geom)} END"))
