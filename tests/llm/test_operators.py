@@ -262,13 +262,14 @@ def test_suffix_sort():
         text = bytes(rng.choice(alphabet) for _ in range(rng.randint(1, 200)))
         if rng.random() < 0.3:
             text = text[:max(1, len(text) // 5)] * 6
-        blocks = list(suffix_sort.sorted_suffixes(np.frombuffer(text, np.uint8)))
+        depth = rng.choice([1, 8, 9, 56, 120])
+        blocks = list(suffix_sort.sorted_suffixes(np.frombuffer(text, np.uint8), depth))
         assert sorted(np.concatenate([p for p, _ in blocks]).tolist()) == list(range(len(text)))
         for places, shared in blocks:
             for a, b, s in zip(places, places[1:], shared[1:]):
                 x, y = text[a:], text[b:]
                 common = next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
-                assert x[:56] <= y[:56] and min(common, 50) == min(s, 50)
+                assert x[:depth] <= y[:depth] and min(common, depth) == min(s, depth)
 
 
 def test_queue_spills():
@@ -312,6 +313,13 @@ def test_substrings_in_many_shards(spark, monkeypatch):
     assert sorted((str(r[0]), *r[1:]) for r in got) == removed([(r.doc_id, (r.text or "").encode()) for r in docs.collect()])
 
 
+@pytest.mark.parametrize("length", [20, 100, 200, 400])
+def test_substrings_of_any_length(spark, odd, length):
+    docs = table(spark, "documents").select("doc_id", "text").union(odd.select("doc_id", "text").where("doc_id <> 7"))
+    got = substring_dedup.removal_digests(docs, length).collect()
+    assert sorted((str(r[0]), *r[1:]) for r in got) == removed([(r.doc_id, (r.text or "").encode()) for r in docs.collect()], length)
+
+
 def test_substrings_odd_rows(odd, empty):
     kept = substring_dedup.without_repeats(odd)
     assert kept.columns == odd.columns and kept.count() == len(ODD)
