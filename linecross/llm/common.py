@@ -6,18 +6,19 @@ import ctypes
 import gc
 import os
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from linecross.staging import delete_path, discard, new_path, stage
 
-__all__ = ["byte_slices", "crc_mod", "delete_path", "discard", "fold_ascii", "give_back", "local_path", "map_batches", "new_path", "ranges", "read_table",
-           "shared_folder", "stage", "words", "write_file"]
+__all__ = ["block_values", "byte_slices", "crc_mod", "delete_path", "discard", "fold_ascii", "give_back", "local_path", "map_batches", "mapped", "new_path", "per_shard",
+           "ranges", "read_table", "shard_blocks", "shared_folder", "stage", "words", "write_file"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +65,7 @@ def byte_slices(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iter
 
 def give_back() -> None:
     """Return freed memory to the machine. Workers serve one stage after the other and would keep the largest one's."""
+    mapped.cache_clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:
@@ -104,6 +106,59 @@ def write_file(uri: str, data: bytes | memoryview) -> None:
     store.move(part, path)
 
 
+@lru_cache(maxsize=4096)
+def mapped(uri: str, dtype: str) -> np.ndarray:
+    """A file as a memory-mapped array. Files of stores without paths are copied once per task, to a file that has no name."""
+    path = local_path(uri)
+    if path is not None:
+        return np.memmap(path, dtype, "r") if os.path.getsize(path) else np.empty(0, dtype)
+    import tempfile
+    store, path = fs.FileSystem.from_uri(uri)
+    with tempfile.TemporaryFile() as copy, store.open_input_stream(path, compression=None) as source:
+        while piece := source.read(1 << 22):
+            copy.write(piece)
+        return np.memmap(copy, dtype, "r") if copy.tell() else np.empty(0, dtype)
+
+
+def shard_blocks(shard: np.ndarray, keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    """One row per shard from keys that are sorted within shards."""
+    order = np.argsort(shard, kind="stable")
+    shard, keys, values = shard[order], keys[order], values[order]
+    cut = np.flatnonzero(np.diff(shard, prepend=-1))
+    ends = np.append(cut[1:], len(shard))
+    small = "<u4" if not len(values) or values.max() < 1 << 32 else "<u8"
+    return pa.RecordBatch.from_arrays([pa.array(shard[cut].astype(np.int32)), pa.array([keys[x:y].tobytes() for x, y in zip(cut, ends)], pa.binary()),
+                                       pa.array([values[x:y].astype(small).tobytes() for x, y in zip(cut, ends)], pa.binary())], ["shard", "a", "b"])
+
+
+def block_values(raw: bytes, n: int) -> np.ndarray:
+    """The values of a block of n."""
+    return np.frombuffer(raw, "<u4" if len(raw) == 4 * n else "<u8").astype(np.int64)
+
+
+def per_shard(blocks: DataFrame, shards: int, finish: Callable[[int, list[tuple[bytes, bytes]]], pa.RecordBatch | Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """Bring the blocks of a shard together and finish each, with one batch or several."""
+    def finished(number: int, parts: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+        out = finish(number, parts)
+        yield from [out] if isinstance(out, pa.RecordBatch) else out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, parts = None, []
+        for batch in batches:
+            for shard, a, b in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                if shard != number and parts:
+                    yield from finished(number, parts)
+                    parts = []
+                number = shard
+                parts.append((a, b))
+        if parts:
+            yield from finished(number, parts)
+        parts.clear()
+        give_back()
+
+    return blocks.repartition(max(1, shards), F.col("shard")).sortWithinPartitions("shard").mapInArrow(run, schema)
+
+
 _RANDOM = np.random.default_rng(20240229)
 _BYTE_VALUE = _RANDOM.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
 _IS_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))

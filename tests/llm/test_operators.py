@@ -105,38 +105,57 @@ def test_language_odd_rows(odd, empty):
 # --- 3 language model ------------------------------------------------------------------------------------
 
 
-def test_language_model_against_direct_counts(spark):
-    docs = table(spark, "documents").collect()
-    got = {r.doc_id: r for r in queries.op3_language_model(spark, SF).collect()}
+@pytest.mark.parametrize("order, shard_tokens", [(1, 4_000), (2, 1 << 20), (2, 4_000), (3, 4_000), (5, 4_000)])
+def test_language_model_against_direct_counts(spark, order, shard_tokens):
+    """Several shards, with hot words in all places, agree with counts of a dictionary per order."""
+    rows = table(spark, "documents")
+    docs = rows.collect()
+    got = {r.doc_id: r for r in lm.language_model_scores(rows, order=order, shard_tokens=shard_tokens).collect()}
     tokens = {d.doc_id: [*ascii_words(d.text), None] for d in docs}
-    words, pairs = Counter(), Counter()
+    windows = {i: [tuple(([0] * (order - 1) + t)[k:k + order]) for k in range(len(t))] for i, t in tokens.items()}
+    words, counts = Counter(), {order: Counter()}
     for i, t in tokens.items():
         if zlib.crc32(str(i).encode()) % 5 != 1:
             words.update(t)
-            pairs.update(zip([0, *t[:-1]], t))
-    before, first = Counter(v for _, v in pairs), defaultdict(lambda: [0, 0, 0, 0])
-    for (u, _), n in pairs.items():
-        first[u][0] += n
-        first[u][min(n, 3)] += 1
-    d2 = lm._discounts(np.bincount(np.minimum(list(pairs.values()), 5), minlength=6)[1:5])
-    d1 = lm._discounts(np.bincount(np.minimum(list(before.values()), 5), minlength=6)[1:5])
-    free = sum(d1[min(n, 3)] for n in before.values()) / len(pairs)
+            counts[order].update(windows[i])
+    if shard_tokens < 1 << 20:
+        assert sum(n > shard_tokens // 4 for n in words.values()) > 1 and sum(words.values()) > 3 * shard_tokens
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(gram[1:] for gram in counts[k + 1])
+    discounts, context = {}, {}
+    for k, grams in counts.items():
+        discounts[k] = lm._discounts(np.bincount(np.minimum(list(grams.values()), 5), minlength=6)[1:5])
+        context[k] = defaultdict(lambda: [0, 0, 0, 0])
+        for gram, n in grams.items():
+            context[k][gram[:-1]][0] += n
+            context[k][gram[:-1]][min(n, 3)] += 1
     total, types = sum(words.values()), len(words)
-    lower = lambda v: max(before[v] - d1[min(before[v], 3)], 0) / len(pairs) + free / (types + 1)
 
-    def probability(u, v):
-        if u not in first:
-            return lower(v)
-        n, (c, *times) = pairs[u, v], first[u]
-        return max(n - d2[min(n, 3)], 0) / c + sum(d * t for d, t in zip(d2[1:], times)) / c * lower(v)
-
-    some = next(iter(first))
-    assert abs(sum(probability(some, v) for v in words) + probability(some, b"never seen") - 1) < 1e-9
+    def probability(gram):
+        if not gram:
+            return 1 / (types + 1)
+        k, lower = len(gram), probability(gram[1:])
+        if gram[:-1] not in context[k]:
+            return lower
+        c, *times = context[k][gram[:-1]]
+        n, d = counts[k][gram], discounts[k]
+        return max(n - d[min(n, 3)], 0) / c + sum(x * y for x, y in zip(d[1:], times)) / c * lower
+
+    some = next(iter(counts[order]))[:-1]
+    assert abs(sum(probability((*some, v)) for v in words) + probability((*some, b"never seen")) - 1) < 1e-9
     for i, t in tokens.items():
-        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 1)
         assert (got[i].n_tokens, got[i].train_tokens, got[i].n_known) == (len(t), total, sum(words[v] > 0 for v in t))
         assert math.isclose(got[i].base_score, sum(math.log10((words[v] + 0.5) / (total + 0.5 * (types + 1))) for v in t), rel_tol=1e-9)
-        assert math.isclose(got[i].score, sum(math.log10(probability(u, v)) for u, v in zip([0, *t[:-1]], t)), rel_tol=1e-9)
+        assert math.isclose(got[i].score, sum(math.log10(probability(gram)) for gram in windows[i]), rel_tol=1e-9)
+
+
+def test_language_model_query(spark):
+    """The query's training rows, and two words of context that tell held-out text better than one."""
+    got = {r.doc_id: r for r in queries.op3_language_model(spark, SMALL).collect()}
+    rows = table(spark, "documents", SMALL)
+    assert len(got) == rows.count() and all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 1) for i, r in got.items())
+    pairs = {r.doc_id: r.score for r in lm.language_model_scores(rows, order=2).collect()}
+    assert sum(r.score for r in got.values() if r.held_out) > sum(pairs[i] for i, r in got.items() if r.held_out)
 
 
 def test_language_model_odd_rows(odd, empty):
