@@ -3,7 +3,9 @@
 import math
 import random
 
-from linecross.operators import cluster
+from linecross.operators import cluster, nearest
+from tests.helpers import pieces
+from tests.test_density import seg_distance
 
 
 def test_cells_are_linked_across_blocks_with_few_copies(spark):
@@ -18,3 +20,37 @@ def test_cells_are_linked_across_blocks_with_few_copies(spark):
     want = {(a[0], b[0]) for a in rows for b in rows
             if (b[1] - a[1], b[2] - a[2]) > (0, 0) and b[1] - a[1] <= 2 and abs(b[2] - a[2]) <= 2 and math.dist(a[1:3], b[1:3]) <= 2.3}
     assert len(got) == len(want) and {(r.a, r.b) for r in got} == want
+
+
+def _staged_rows(monkeypatch):
+    counts = {}
+
+    def counted(make):
+        def staged(df, label, **metrics):
+            out = make(df, label, **metrics)
+            counts[label] = counts.get(label, 0) + (out[0] if isinstance(out, tuple) else out).count()
+            return out
+        return staged
+    for name in ("stage", "stage_observed"):
+        monkeypatch.setattr(nearest, name, counted(getattr(nearest, name)))
+    return counts
+
+
+def test_sparse_pieces_are_not_listed_in_a_cell_of_every_level(spark, monkeypatch):
+    counts = _staged_rows(monkeypatch)
+    rng = random.Random(7)
+    spots = [(rng.uniform(-40_000, 40_000), rng.uniform(-40_000, 40_000)) for _ in range(600)]
+    rows = [(i, "a", x, y, x, y) for i, (x, y) in enumerate(spots)]
+    asked = [(i, "a", x + rng.uniform(-300, 300), y + 20.0) for i, (x, y) in enumerate(spots[:200])]
+    # one that is alone in its group, and one whose group has fewer pieces than are looked for
+    rows += [(9000, "b", 0.0, 0.0, 0.0, 0.0)]
+    asked += [(9000, "b", 39_000.0, 5.0), (9001, "c", 0.0, 0.0)]
+    points = spark.createDataFrame(asked, "p long, g string, x double, y double")
+    for k in (1, 5):
+        counts.clear()
+        got = nearest.nearest_k(points, pieces(spark, rows), k, ["id"], ["g"]).collect()
+        want = {(p, n + 1, i) for p, g, x, y in asked for n, (_, i) in enumerate(sorted(
+            (seg_distance(x, y, *piece[2:]), piece[0]) for piece in rows if piece[1] == g)[:k])}
+        assert {(r.p, r["rank"], r.id) for r in got} == want
+        # 16 m cells would be 14 levels of about one cell a piece first
+        assert counts["cells"] < 3 * len(rows)
