@@ -3,7 +3,7 @@
 import math
 import random
 
-from linecross.operators import cluster, nearest
+from linecross.operators import cluster, nearest, overlay
 from tests.helpers import pieces
 from tests.test_density import seg_distance
 
@@ -54,3 +54,39 @@ def test_sparse_pieces_are_not_listed_in_a_cell_of_every_level(spark, monkeypatc
         assert {(r.p, r["rank"], r.id) for r in got} == want
         # 16 m cells would be 14 levels of about one cell a piece first
         assert counts["cells"] < 3 * len(rows)
+
+
+def test_long_segments_are_not_listed_in_many_small_cells(spark):
+    rng = random.Random(9)
+
+    def segments(p, n, length):
+        rows = []
+        for i in range(n):
+            x, y, turn = rng.uniform(0, 5000), rng.uniform(0, 5000), rng.uniform(0, 2 * math.pi)
+            rows.append((i, x, y, x + length * math.cos(turn), y + length * math.sin(turn)))
+        return spark.createDataFrame(rows, ", ".join(f"{p}{c} {kind}" for c, kind in (
+            ("id", "long"), ("x1", "double"), ("y1", "double"), ("x2", "double"), ("y2", "double"))))
+    long, short = segments("l", 300, 900.0), segments("r", 300, 20.0)
+    assert overlay._cell_width(short.toDF(*long.columns), short, 100.0) == 100.0
+    assert overlay._cell_width(short.toDF(*long.columns).limit(0), short.limit(0), 100.0) == 100.0
+    width = overlay._cell_width(long, long.toDF(*short.columns), 100.0)
+    assert overlay._celled(long, "l", width).count() < 3 * 300 < overlay._celled(long, "l", 100.0).count()
+
+
+def test_pieces_are_listed_on_the_levels_that_points_ask_for(spark):
+    rng = random.Random(3)
+    rows = [(i, "a", rng.uniform(0, 900), rng.uniform(0, 900)) for i in range(800)]
+    points = spark.createDataFrame([(i, "a", rng.uniform(0, 900), rng.uniform(0, 900)) for i in range(50)], "p long, g string, x double, y double")
+    found = nearest.nearest_k(points, pieces(spark, rows), 5, ["id"], ["g"])
+    assert "explode([0," not in found._jdf.queryExecution().toString()
+
+
+def test_a_limited_search_writes_no_cells_unless_one_is_crowded(spark, monkeypatch):
+    counts = _staged_rows(monkeypatch)
+    points = spark.createDataFrame([("a", 1.0, 2.0)], "g string, x double, y double")
+    heap = pieces(spark, [(i, "a", 1.5, 2.0 + i / 100) for i in range(30)])
+    for per_point, cells in ((1024, False), (2, True)):
+        counts.clear()
+        got = nearest.nearest_within(points, heap, 3.0, ["id"], ["g"], pieces_per_point=per_point).collect()
+        assert [(r.id, r.distance) for r in got] == [(0, 0.5)]
+        assert ("cells" in counts) == cells
