@@ -556,3 +556,24 @@ def test_word_hashes():
     texts = ["a bb ccc", "", None, "ccc A", "\x00é \n"]
     hashes, counts = hashed_words(texts)
     assert counts.tolist() == [3, 0, 0, 2, 1] and hashes[2] == hashes[3] and hashes[0] == hashes[4] and len(set(hashes.tolist())) == 4
+
+
+def test_words_are_looked_up_once_and_blocks_keep_their_order(spark, monkeypatch):
+    from linecross.llm import lm
+    rng = np.random.default_rng(4)
+    for unit in ("<u4", "<u8"):
+        for order in (1, 2, 3, 4):
+            grams, shard = rng.integers(0, 1 << 31, (400, order)).astype(unit) % 9, rng.integers(0, 4, 400)
+            assert (lm._ordered(shard, grams) == np.lexsort((*grams.T[::-1], shard))).all()
+    texts = [" ".join(rng.choice(list("abcdefgh"), 300)) for _ in range(8)]
+    model, folder = lm.train(spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id long, text string"), shard_tokens=10**6)
+    asked, real = {}, lm._look_up
+
+    def look_up(uri, keys, width):
+        kind = uri.rsplit("/", 1)[1].rsplit("-", 1)[0]
+        asked[kind] = asked.get(kind, 0) + len(keys)
+        return real(uri, keys, width)
+    monkeypatch.setattr(lm, "_look_up", look_up)
+    got = model.score([*texts, "a zz b", "", None])
+    assert asked["grams-1"] <= 10 and asked["contexts-2"] <= 10 and (got["score"] < 0).all()
+    lm.delete_path(spark, folder)
