@@ -577,3 +577,43 @@ def test_words_are_looked_up_once_and_blocks_keep_their_order(spark, monkeypatch
     got = model.score([*texts, "a zz b", "", None])
     assert asked["grams-1"] <= 10 and asked["contexts-2"] <= 10 and (got["score"] < 0).all()
     lm.delete_path(spark, folder)
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 8, 9, 5000])
+def test_places_in_buckets(n):
+    from linecross.llm.common import bucket_starts, places
+    rng = np.random.default_rng(n)
+    for top in (1 << 64, 1 << 20):  # spread, and all in the first bucket
+        table = np.unique(rng.integers(0, top, n, np.uint64))
+        asked = np.concatenate([table, rng.integers(0, top, 50, np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+        where = {k: i for i, k in enumerate(table.tolist())}
+        assert places(table, bucket_starts(table), asked).tolist() == [where.get(k, -1) for k in asked.tolist()]
+    assert len(bucket_starts(table)) <= max(2, len(table) // 4)
+
+
+def test_lookups_are_of_distinct_keys_in_few_files(spark, monkeypatch):
+    """Contexts that the order below does not have are not looked up, nor is a key twice."""
+    from linecross.llm import lm
+    model, folder = lm.train(spark.createDataFrame([(0, "a b c d"), (1, "b c e")], "doc_id long, text string"))
+    asked, real = {}, lm._look_up
+
+    def look_up(uri, keys, width):
+        kind = uri.rsplit("/", 1)[1].rsplit("-", 1)[0]
+        asked.setdefault(kind, []).extend(keys.tolist())
+        return real(uri, keys, width)
+    monkeypatch.setattr(lm, "_look_up", look_up)
+    model.score(["a b c d"] * 5 + ["z y x w v u"] * 5)
+    assert all(len(keys) == len(set(keys)) for keys in asked.values())
+    assert len(asked["grams-3"]) <= 5 and len(asked["contexts-3"]) <= 5
+    lm.delete_path(spark, folder)
+
+
+def test_blocks_are_near_order():
+    from linecross.llm import lm
+    rng = np.random.default_rng(8)
+    for top in (9, 1 << 30):
+        grams, shard = rng.integers(0, top, (3000, 3)).astype("<u4"), rng.integers(0, 5, 3000)
+        grams[::7] |= np.uint32(1 << 31)
+        order = lm._near_order(shard, grams)
+        rows = [(s, g & 0x7FFFFFFF) for s, g in zip(shard[order].tolist(), grams[order][:, 0].tolist())]
+        assert rows == sorted(rows) and sorted(order.tolist()) == list(range(3000))
