@@ -592,7 +592,7 @@ def test_places_in_buckets(n):
 
 
 def test_lookups_are_of_distinct_keys_in_few_files(spark, monkeypatch):
-    """Contexts that the order below does not have are not looked up, nor is a key twice."""
+    """Contexts that the order below does not have are not looked up, nor is a key twice; anchors go to fewer files than stretches."""
     from linecross.llm import lm
     model, folder = lm.train(spark.createDataFrame([(0, "a b c d"), (1, "b c e")], "doc_id long, text string"))
     asked, real = {}, lm._look_up
@@ -606,6 +606,8 @@ def test_lookups_are_of_distinct_keys_in_few_files(spark, monkeypatch):
     assert all(len(keys) == len(set(keys)) for keys in asked.values())
     assert len(asked["grams-3"]) <= 5 and len(asked["contexts-3"]) <= 5
     lm.delete_path(spark, folder)
+    tables = substring_dedup.Tables(9)
+    assert tables.lookups == 3 and int(tables.lookup_shard(np.arange(1000, dtype=np.uint64)).max()) == 2
 
 
 def test_blocks_are_near_order():
