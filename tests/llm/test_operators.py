@@ -619,3 +619,16 @@ def test_blocks_are_near_order():
         order = lm._near_order(shard, grams)
         rows = [(s, g & 0x7FFFFFFF) for s, g in zip(shard[order].tolist(), grams[order][:, 0].tolist())]
         assert rows == sorted(rows) and sorted(order.tolist()) == list(range(3000))
+
+
+def test_stable_order_by_quick_sorts(monkeypatch):
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 2, 5, 1000):
+        word, group = rng.integers(0, 9, n, np.uint64) << np.uint64(60), np.sort(rng.integers(0, n // 3 + 1, n))
+        assert (suffix_sort._stable_order(word) == np.argsort(word, kind="stable")).all()
+        if n:
+            assert (suffix_sort._stable_order(word, group + (1 << 60)) == np.lexsort((word, group))).all()  # more than 64 bits
+            with monkeypatch.context() as patch:  # no stable sort of all words otherwise
+                patch.setattr(np, "lexsort", None)
+                got = suffix_sort._stable_order(word, group)
+            assert (got == np.lexsort((word, group))).all()
