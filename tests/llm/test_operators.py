@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -418,6 +419,21 @@ def test_bpe_columns(odd, empty):
     assert bpe.bpe_encode(empty, queries.vocabulary_path()).count() == 0
 
 
+def test_bpe_holds_a_megabyte_of_words(spark, monkeypatch):
+    """A batch of a task is encoded in slices, not whole, and all of its rows come out in order."""
+    batch = pa.record_batch({"doc_id": pa.array(range(4000)), "text": pa.array(None if n % 9 == 0 else f"word{n % 7} " * 200 for n in range(4000))})
+    docs, caught = spark.createDataFrame([(1, "a")], "doc_id long, text string"), []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: caught.append(run) or self)
+    bpe.bpe_encode(docs, queries.vocabulary_path(), decoded="back")
+    held, real = [], bpe.Bpe.encode
+    monkeypatch.setattr(bpe.Bpe, "encode", lambda self, texts: held.append(sum(len(t or "") for t in texts)) or real(self, texts))
+    got = pa.Table.from_batches(list(caught[0](iter([batch]))))
+    assert max(held) <= 1 << 20 and got.column("doc_id").to_pylist() == list(range(4000))
+    coded = real(bpe.load(queries.vocabulary_path()), batch.column("text").to_pylist())
+    assert got.column("ids").to_pylist() == [np.frombuffer(x, "<u4").tolist() for x in coded]
+    assert got.column("back")[0].as_py() == "" and got.column("back")[1].as_py().startswith("word</w> 1</w> word</w>")
+
+
 def test_best_fit_decreasing():
     rng = random.Random(6)
     for _ in range(50):
@@ -632,3 +648,17 @@ def test_stable_order_by_quick_sorts(monkeypatch):
                 patch.setattr(np, "lexsort", None)
                 got = suffix_sort._stable_order(word, group)
             assert (got == np.lexsort((word, group))).all()
+
+
+def test_language_training_holds_rows_once():
+    """Training frees each language's counts as it goes; its peak stays near twice the rows it learns from."""
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    counts = {lang: rng.integers(0, 3, (150, langid.BUCKETS)).astype(np.float32) for lang in ("en", "de", "fr", "es", "pl", "fi", "tr", "ar")}
+    size = sum(c.nbytes for c in counts.values())
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    model = langid.LanguageModel(counts, 150)
+    peak = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert not counts and model.weights.shape[0] == langid.BUCKETS and peak < 2.2 * size
