@@ -662,3 +662,14 @@ def test_language_training_holds_rows_once():
     peak = tracemalloc.get_traced_memory()[1] - before
     tracemalloc.stop()
     assert not counts and model.weights.shape[0] == langid.BUCKETS and peak < 2.2 * size
+
+
+def test_suffix_sort_memory():
+    """The arrays beside the sorting take 32 bytes a byte of text at most."""
+    import tracemalloc
+    text = np.random.default_rng(5).integers(97, 123, 500_000, np.uint8)
+    tracemalloc.start()
+    places = sum(len(place) for place, _ in suffix_sort.sorted_suffixes(text))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert places == len(text) and peak < 32 * len(text)
