@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from linecross.llm import bpe, decontaminate, html_text, jaccard, langid, lm, packing, quality, queries, substring_dedup, suffix_sort, warc
 from linecross.llm.common import fold_ascii, hashed_words, shared_folder, stage
@@ -347,6 +347,58 @@ def test_substrings_odd_rows(odd, empty):
     assert substring_dedup.removal_digests(empty).count() == 0
 
 
+def test_stretches_alone_with_their_anchor_are_not_sorted(monkeypatch, tmp_path):
+    """A copied passage is the same stretches in both texts; only those at its ends meet others of their anchor."""
+    rng = random.Random(7)
+    passage = bytes(rng.choice(b"abcdefghijklmnop ") for _ in range(20_000))
+    rows = [(1, b"first" + passage), (2, passage[:9_000] + b"ZZ" + passage[9_000:] + b"end"), (3, passage[:100] * 3), (4, b""), (5, passage[5_000:7_000])]
+    docs = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([d.decode() for _, d in rows])], ["doc_id", "text"])
+
+    class Local:
+        def mapInArrow(self, run, schema):
+            return list(run(iter([docs])))
+
+    class Listed(list):
+        def collect(self):
+            return self
+
+    def per_shard(blocks, shards, finish, schema):
+        groups = defaultdict(list)
+        for block in blocks:
+            for r in block.to_pylist():
+                groups[r["shard"]].append((r["a"], r["b"]))
+        return Listed(Row(**r) for shard, parts in groups.items() for r in finish(shard, parts).to_pylist())
+    monkeypatch.setattr(substring_dedup, "per_shard", per_shard)
+    monkeypatch.setattr(substring_dedup, "stage", lambda rows, label: rows)
+    monkeypatch.setattr(substring_dedup, "discard", lambda rows: None)
+    sizes, real = [], substring_dedup.sorted_suffixes
+    monkeypatch.setattr(substring_dedup, "sorted_suffixes", lambda text, depth: sizes.append(len(text)) or real(text, depth))
+    tables = substring_dedup.Tables(3)
+    substring_dedup._find_suspects(Local(), tables, f"file://{tmp_path}", 50)
+    substring_dedup._sort_suspects(Local(), tables, f"file://{tmp_path}", 50)
+    assert sum(sizes) < len(passage) // 10
+    parts = [d for _, d in rows]
+    spans = substring_dedup.covered(tables, np.array([i for i, _ in rows]), parts, 50)
+    got = [(str(i), len(d), sum(b - a for a, b in s), len(s), hashlib.sha256(substring_dedup._rest(d, s)).hexdigest()) for (i, d), s in zip(rows, spans)]
+    assert sorted(got) == removed(rows)
+
+
+def test_stretches_by_blocks(monkeypatch):
+    """Stretches are every window of every text once, with the anchor of its smallest hash, whatever the blocks hashed at once."""
+    rng = random.Random(2)
+    parts = [bytes(rng.choice(b"ab") for _ in range(rng.choice([0, 1, 49, 50, 51, 300]))) for _ in range(60)] + [b"a" * 500, b""]
+    whole = substring_dedup.stretches(parts, 50)
+    monkeypatch.setattr(substring_dedup, "_BLOCK", 7)
+    assert all((a == b).all() for a, b in zip(whole, substring_dedup.stretches(parts, 50)))
+    _, begin, owner, start, count, anchor = whole
+    windows = [(o, w) for o, s, n in zip(owner.tolist(), start.tolist(), count.tolist()) for w in range(s, s + n)]
+    assert windows == [(o, b + k) for o, (b, p) in enumerate(zip(begin.tolist(), parts)) for k in range(len(p) - 49)]
+    assert count.max() <= substring_dedup.STRETCH
+    data, by_window = b"".join(parts), {}
+    for s, n, a in zip(start.tolist(), count.tolist(), anchor.tolist()):
+        assert all(by_window.setdefault(data[w:w + 50], a) == a for w in range(s, s + n))
+
+
 # --- 7 archives ------------------------------------------------------------------------------------------
 
 
