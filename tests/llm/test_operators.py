@@ -333,6 +333,22 @@ def test_substrings_in_many_shards(spark, monkeypatch):
     assert sorted((str(r[0]), *r[1:]) for r in got) == removed([(r.doc_id, (r.text or "").encode()) for r in docs.collect()])
 
 
+def test_substring_lookups_do_not_grow_with_the_shards(spark, monkeypatch):
+    """A step of text asks a fixed number of files, however many shards there are, and finds what it did."""
+    monkeypatch.setattr(substring_dedup, "SHARD_BYTES", 4_000)
+    docs = table(spark, "documents").select("doc_id", "text").repartition(5)
+    tables, folder = substring_dedup.build_tables(docs)
+    assert tables.shards > 100
+    asked, real = set(), substring_dedup.mapped
+    monkeypatch.setattr(substring_dedup, "mapped", lambda name, kind: asked.add(name) or real(name, kind))
+    rows = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
+    spans = substring_dedup.covered(tables, np.array([i for i, _ in rows]), [d for _, d in rows], 50)
+    got = [(str(i), len(d), sum(b - a for a, b in s), len(s), hashlib.sha256(substring_dedup._rest(d, s)).hexdigest()) for (i, d), s in zip(rows, spans)]
+    assert sorted(got) == removed(rows)
+    assert len({name.rsplit("/", 1)[1].split(".")[0] for name in asked}) <= 3 * 16
+    substring_dedup.delete_path(spark, folder)
+
+
 @pytest.mark.parametrize("length", [20, 100, 200, 400])
 def test_substrings_of_any_length(spark, odd, length):
     docs = table(spark, "documents").select("doc_id", "text").union(odd.select("doc_id", "text").where("doc_id <> 7"))
