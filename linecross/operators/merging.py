@@ -1,4 +1,4 @@
-"""Merging lines of very many parts: a graph of end points, ranked by pointer doubling."""
+"""Merging lines of very many parts: a graph of end points, ranked by pointer doubling, inside the row or by rounds of joins."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from linecross.functions import planar
 from linecross.staging import discard, stage, stage_observed
 
 _LINE, _PARTS = "_line_no", "_parts"
+#: Parts of a line that is ranked inside its row, which takes some hundred bytes a part; longer ones are spread over all tasks.
+IN_ROW = 100_000
 
 
 def _ends(lines: DataFrame) -> DataFrame:
@@ -53,17 +55,43 @@ def _ranked(steps: DataFrame, most_parts: int) -> DataFrame:
     return walks
 
 
-def merge_many_parts(df: DataFrame, geom: str = "geom", merged: str = "merged") -> DataFrame:
-    """As ``operators.lines.merge_parts``, with work that grows with n log n of a line's parts instead of their square.
+def _way_in_row() -> str:
+    """SQL for the darts of ``_steps`` in the order of the merged line, as array positions all along; NULL if there is no such line.
 
-    Parts become rows and walks over them are ranked in rounds, so the parts of one line are spread over all tasks; only the order found
-    (a number per part) returns to the line's row. Needs the staging folder; the result reads a table staged there. NULL where parts
-    leave a gap or branch, for no parts, and for ends without coordinates; parts of fewer than two vertices are left out; equal rows stay.
+    Ends are sorted by place, so equal ones are neighbours, then by number, so an array holds where each dart goes on. Walks from the first
+    part's head and tail, and the array's steps, double in length each round.
     """
-    rows = df.withColumn(_LINE, F.monotonically_increasing_id()).withColumn(_PARTS, F.expr(f"filter({geom}, p -> size(p) > 1)"))
-    lines, seen = stage_observed(rows, "lines", most=f"max(size({_PARTS}))")
-    ends = stage(_ends(lines.select(_LINE, _PARTS)), "ends")
-    walks = _ranked(_steps(ends), seen["most"] or 0)
+    ends = (f"flatten(transform({_PARTS}, (p, i) -> array(named_struct('x', get(p, 0).x, 'y', get(p, 0).y, 'end', 2 * i), "
+            "named_struct('x', element_at(p, -1).x, 'y', element_at(p, -1).y, 'end', 2 * i + 1))))")
+
+    def same(at: str) -> str:
+        return f"coalesce(get(s, {at}).x = e.x AND get(s, {at}).y = e.y, false)"
+
+    # each end with the one it meets, one more than its number, in the low half; zero: none
+    pairs = (f"sort_array(transform(s, (e, i) -> shiftleft(CAST(e.end AS BIGINT), 32) + CASE WHEN {same('i + 1')} THEN get(s, i + 1).end + 1 "
+             f"WHEN {same('i - 1')} THEN get(s, i - 1).end + 1 ELSE 0 END))")
+    met = f"transform({pairs}, v -> CAST(v & 4294967295 AS INT))"
+    # a ring is cut where its first part starts
+    jumps = "transform(met, (v, d) -> CASE WHEN ring AND (d = 1 OR get(met, d ^ 1) = 1) THEN -1 ELSE get(met, d ^ 1) - 1 END)"
+
+    def onward(walk: str) -> str:
+        return f"concat(acc.{walk}, filter(transform(acc.{walk}, d -> get(acc.jumps, d)), d -> d >= 0))"
+
+    # twice as far as there are parts: a walk without an end becomes too long
+    walks = (f"aggregate(sequence(1, length(bin(size({_PARTS})))), named_struct('jumps', {jumps}, 'ahead', array(0), 'back', array(1)), "
+             f"(acc, k) -> named_struct('jumps', transform(acc.jumps, d -> IF(d < 0, -1, get(acc.jumps, d))), 'ahead', {onward('ahead')}, 'back', {onward('back')}))")
+    way = planar.let("w", walks, "concat(transform(reverse(slice(w.back, 2, size(w.back))), d -> d ^ 1), w.ahead)")
+    turned = "IF(2 * size(filter(way, d -> d % 2 = 1)) > size(way), transform(reverse(way), d -> d ^ 1), way)"
+    ordered = planar.let("met", met, planar.let("ring", "NOT exists(met, v -> v = 0)", planar.let(
+        "way", way, f"CASE WHEN size(way) = size({_PARTS}) THEN {turned} END")))
+    simple = (f"exists(s, e -> e.x IS NOT NULL AND e.y IS NOT NULL) AND NOT exists(transform(s, (e, i) -> {same('i + 2')}), most -> most)")
+    return planar.let("s", f"sort_array({ends})", f"CASE WHEN {simple} THEN {ordered} END")
+
+
+def _ways_by_rounds(lines: DataFrame, most_parts: int) -> DataFrame:
+    """Staged ``_way`` of each line that has one, found with its parts as rows of their own."""
+    ends = stage(_ends(lines), "ends")
+    walks = _ranked(_steps(ends), most_parts)
     # the walk that holds the first part as it runs; its mirror holds the rest of the darts
     found = walks.where("next IS NULL").groupBy(_LINE, "last").agg(
         F.expr("sort_array(collect_list(named_struct('hops', hops, 'dart', dart)), false)").alias("way"),
@@ -72,7 +100,29 @@ def merge_many_parts(df: DataFrame, geom: str = "geom", merged: str = "merged")
                                                    "transform(way, w -> w.dart)) AS _way")
     found = stage(found, "ways")
     discard(ends, walks)
+    return found
+
+
+def merge_many_parts(df: DataFrame, geom: str = "geom", merged: str = "merged") -> DataFrame:
+    """As ``operators.lines.merge_parts``, with work that grows with n log n of a line's parts instead of their square.
+
+    Parts are ranked inside the line's row, or, of lines of more than ``IN_ROW`` parts, as rows of their own in rounds, so the parts of one line are
+    spread over all tasks and only the order found (a number per part) returns to the line's row. Needs the staging folder; the result
+    reads a table staged there. NULL where parts leave a gap or branch, for no parts, and for ends without coordinates; parts of fewer
+    than two vertices are left out; equal rows stay.
+    """
+    own = F.expr(f"filter({geom}, p -> size(p) > 1)")
+    lines, seen = stage_observed(df.withColumn(_LINE, F.monotonically_increasing_id()), "lines", most=f"max(size(filter({geom}, p -> size(p) > 1)))")
+    lines, most = lines.withColumn(_PARTS, own), seen["most"] or 0
     part = planar.let("p", f"get({_PARTS}, CAST(shiftright(d, 1) AS INT))", "IF(d % 2 = 1, reverse(p), p)")
     chain = f"flatten(transform(_way, (d, i) -> {planar.let('q', part, 'IF(i = 0, q, slice(q, 2, size(q)))')}))"
-    return lines.join(found, _LINE, "left").selectExpr(
-        *[f"`{c}`" for c in df.columns if c != merged], f"CASE WHEN size(_way) = size({_PARTS}) THEN {chain} END AS `{merged}`")
+
+    def finished(rows: DataFrame) -> DataFrame:
+        return rows.selectExpr(*[f"`{c}`" for c in df.columns if c != merged], f"CASE WHEN size(_way) = size({_PARTS}) THEN {chain} END AS `{merged}`")
+
+    short = lines if most <= IN_ROW else lines.where(f"coalesce(size({_PARTS}), 0) <= {IN_ROW}")
+    done = finished(short.withColumn("_way", F.expr(f"CASE WHEN size({_PARTS}) > 0 THEN {_way_in_row()} END")))
+    if most <= IN_ROW:
+        return done
+    long = lines.where(f"size({_PARTS}) > {IN_ROW}")
+    return done.unionByName(finished(long.join(_ways_by_rounds(long.select(_LINE, _PARTS), most), _LINE, "left")))

@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import types as T
 
+from linecross.operators import merging
 from linecross.operators.lines import merge_parts
 from linecross.operators.merging import merge_many_parts
 from linecross.schema import LINE
@@ -61,5 +62,44 @@ def test_hundreds_of_parts_and_a_hub(spark):
     assert got[3] is None and got[4] is None
 
 
+def test_in_the_row_as_by_rounds(spark, monkeypatch):
+    """Lines short enough are ranked where they are, without staging their ends or walks; both ways give the same lines."""
+    rng = random.Random(8)
+    rows = []
+    for n in range(150):
+        steps = _walk(rng, rng.randint(1, 40), ring=n % 3 == 0)
+        if n % 5 == 0 and len(steps) > 1:
+            steps.pop(rng.randrange(len(steps)))
+        if n % 7 == 0:
+            steps += [[(x + 100, y) for x, y in s] for s in _walk(rng, rng.randint(1, 3), ring=True)]
+        if n % 11 == 0:
+            steps.insert(0, [(70, 7), (71, 7), (70, 7)])
+        if n % 13 == 0:
+            steps.append([(0, 0), (9, 9)])
+        if n % 17 == 0:
+            steps.append([(0.0, -0.0), (float("nan"), 5.0)])
+        rows.append((n, line(*steps)))
+    gap = (None, None, None, None)
+    rows += [(500, None), (501, []), (502, [None]), (503, [[gap, gap]]), (504, [[gap, (1.0, 0.0, None, None)]]),
+             (505, [[gap, (1.0, 0.0, None, None)], [(1.0, 0.0, None, None), gap]]), (506, [[None, (1.0, 0.0, None, None)], [(2.0, None, None, None), gap]]),
+             (507, [[(5.0, None, None, None), (5.0, None, None, None)]]), (None, rows[2][1]), (None, rows[2][1])]
+    df, staged, real = _lines(spark, rows), [], merging.stage_observed
+
+    def stage_observed(frame, label, **metrics):
+        staged.append(label)
+        return real(frame, label, **metrics)
+    monkeypatch.setattr(merging, "stage_observed", stage_observed)
+
+    def lines():
+        staged.clear()
+        return sorted(((r.id, repr(_plain(r))) for r in merge_many_parts(df).collect()), key=repr)
+    in_row = lines()
+    assert staged == ["lines"]
+    for most in (0, 7):
+        monkeypatch.setattr(merging, "IN_ROW", most)
+        assert lines() == in_row and "walks" in staged
+    assert len(in_row) == len(rows) and 40 < sum(p != "None" for _, p in in_row) < 150
+
+
 def test_no_lines(spark):
     assert merge_many_parts(_lines(spark, [])).count() == 0
