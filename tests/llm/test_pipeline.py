@@ -1,7 +1,9 @@
 """The pipeline's stages against brute-force versions, each on its own input, and the registered queries."""
 
+import os
+
 import corpus_pipeline
-from linecross.llm import decontaminate, queries
+from linecross.llm import decontaminate, queries, substring_dedup
 from tests.llm.test_operators import ascii_words, components, levenshtein_inside, removed
 
 SF = "/root/testdata/sf0.001"
@@ -42,6 +44,20 @@ def test_stages(spark):
         docs = spark.createDataFrame(after, done.schema)
 
 
+def test_repeated_passages_ask_few_files(spark, monkeypatch):
+    """With many shards the stage's scan has 16 files of each of ten kinds at most, and cuts the same bytes."""
+    monkeypatch.setattr(substring_dedup, "SHARD_BYTES", 4_000)
+    left, real = [], substring_dedup.delete_path
+    monkeypatch.setattr(substring_dedup, "delete_path", lambda spark, folder: left.append(
+        sum(os.path.isfile(f"{top}/{f}") for top in [folder.removeprefix("file://")] for f in os.listdir(top))) or real(spark, folder))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(3)
+    want = {i: (size, gone) for i, size, gone, _, _ in removed([(r.doc_id, r.text.encode()) for r in docs.collect()])}
+    for r in corpus_pipeline.repeated_passages(spark, docs, SF).collect():
+        size, gone = want.pop(str(r.doc_id))
+        assert size - gone - 6 <= len(r.text.encode()) <= size - gone and r.n_chars == len(r.text)
+    assert not want and 0 < left[-1] <= 10 * 16
+
+
 def test_run_keeps_rows_of_last_stage(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.count() > 100 and ascii_words(got.first().text) is not None
